@@ -6,25 +6,32 @@ def _sum(values):
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _given(value, body):
+    """`body(value)` with the value evaluated once, not once per element of the lambda that uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _doubles(v):
+    return v.cast("array<double>")
+
+
 def dot(a, b):
     """Inner product in double precision."""
-    return _sum(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
+    return _sum(F.zip_with(_doubles(a), _doubles(b), lambda x, y: x * y))
 
 
 def l2_norm(v):
-    return F.sqrt(_sum(F.transform(v, lambda x: x.cast("double") * x.cast("double"))))
+    return F.sqrt(_sum(F.transform(_doubles(v), lambda x: x * x)))
 
 
 def l2_normalize(v):
     """Unit length; a zero vector stays as it is."""
-    norm = l2_norm(v)
-    return F.when(norm > 0, F.transform(F.transform(v, lambda x: x.cast("double")), lambda x: x / norm)) \
-        .otherwise(F.transform(v, lambda x: x.cast("double")))
+    return _given(l2_norm(v), lambda n: F.when(n > 0, F.transform(_doubles(v), lambda x: x / n)).otherwise(_doubles(v)))
 
 
 def softmax(scores):
-    shifted = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    return F.transform(shifted, lambda x: x / _sum(shifted))
+    shifted = _given(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp(x - top)))
+    return _given(shifted, lambda e: _given(_sum(e), lambda total: F.transform(e, lambda x: x / total)))
 
 
 def argmax(scores):

@@ -42,7 +42,8 @@ def logistic_regression(n_rows, strength=1.0, max_iter=1000):
 
 
 def linear_svm(n_rows, max_iter=2000):
-    return OneVsRest(classifier=LinearSVC(maxIter=max_iter, tol=1e-4, regParam=1.0 / n_rows, standardization=False))
+    return OneVsRest(classifier=LinearSVC(maxIter=max_iter, tol=1e-4, regParam=1.0 / n_rows, standardization=False),
+                     parallelism=4)
 
 
 def random_forest(trees=200, max_depth=30, seed=config.SEED):
