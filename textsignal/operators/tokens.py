@@ -1,6 +1,6 @@
 """Token tables: explode, vocabulary joins, lemmas, parts of speech, stems."""
 import pandas as pd
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import Window as W, functions as F, types as T
 
 from textsignal import vocab
 from textsignal.functions import text as X
@@ -60,7 +60,7 @@ def adjectives_and_nouns(df, id_col, lexicon, tokens="tokens", function_words=vo
                        (X.is_adjective_or_noun(tag), F.col("token")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _stem_words(words: pd.Series) -> pd.Series:
     return words.map(stem)
 
@@ -77,7 +77,7 @@ def stem_counts(tokens_df):
             .groupBy("stem").agg(F.sum("count").alias("n"), F.count("*").alias("n_forms")))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_array(tokens: pd.Series) -> pd.Series:
     """Stem whole token arrays, for small tables such as summaries."""
     return tokens.map(lambda ws: None if ws is None else [stem(w) for w in ws])

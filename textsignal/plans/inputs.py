@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from textsignal import vocab
 from textsignal.plans.sql import lit
+from textsignal.sources.readers import spread
+
+TEXT_TABLES = ("documents", "conversations", "pages")
 
 # Sample lexicons: small tables in the shape that the operators take. They claim no coverage.
 LEXICON = {
@@ -32,7 +35,8 @@ TIMES = ["for the past 3 years i felt it ", "3 years ago ", "since may 2020 ", "
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def choose(words, key):

@@ -55,3 +55,10 @@ def pick_column(df, names, position=None, default=None):
     if position is not None and position < len(df.columns):
         return F.col(df.columns[position])
     return F.lit(default).cast("string")
+
+
+def spread(df):
+    """Spread a table that arrives in fewer splits than there are cores, as a single small file does.
+    Tables with enough splits are left alone, so nothing is shuffled at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
