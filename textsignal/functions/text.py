@@ -114,6 +114,19 @@ def in_words(x, words):
     return x.isin(words) if words else F.lit(False)
 
 
+def sql_text(s):
+    """A string as a Spark SQL literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def keep_words(array_name, words):
+    """Elements of a named array column that are in a word list. Thousands of literals are parsed at once
+    here, where one call per literal would take seconds of driver time."""
+    words = word_list(words)
+    listed = ", ".join(sql_text(w) for w in words) or "NULL"
+    return F.expr(f"filter(`{array_name}`, x -> coalesce(x IN ({listed}), false))")
+
+
 def remove_stopwords(tokens, stopwords=vocab.STOPWORDS):
     return F.filter(tokens, lambda t: ~in_words(t, stopwords) & (F.length(t) > 1))
 

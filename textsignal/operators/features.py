@@ -71,11 +71,16 @@ def bag_of_words(df, id_col, vocabulary, terms="terms"):
 
 
 def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES):
-    """(id, term, tf, weight): smooth idf, rows of unit length, vocabulary cut to the most used terms."""
-    vocabulary = (top_terms(corpus_counts(df, terms), max_features)
+    """(id, term, tf, weight): smooth idf, rows of unit length, vocabulary cut to the most used terms.
+
+    The vocabulary is counted from the same per-document counts, so both branches start from one
+    exchange and the text is tokenised once.
+    """
+    tf = term_counts(df, id_col, terms)
+    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    vocabulary = (top_terms(stats, max_features)
                   .withColumn("idf", smooth_idf(document_count(df), F.col("df"))).select("term", "idf"))
-    raw = (term_counts(df, id_col, terms).join(F.broadcast(vocabulary), "term")
-           .withColumn("raw", F.col("tf") * F.col("idf")))
+    raw = tf.join(F.broadcast(vocabulary), "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(id_col)))
     return raw.select(id_col, "term", "tf", (F.col("raw") / norm).alias("weight"))
 

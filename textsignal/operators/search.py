@@ -1,12 +1,12 @@
 """Keyword and vector top-k for batches of queries."""
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Window as W, functions as F
 
 from textsignal import config
 from textsignal.functions import text as X, vectors as V
-from textsignal.operators import features as FE
-from textsignal.operators.bounds import bind, collect_bounded, small_side, unnest
+from textsignal.operators.bounds import collect_bounded, small_side, unnest
 from textsignal.sources.writers import write_table
 
 SCORE_DIGITS = 9
@@ -38,9 +38,9 @@ def _best_of(query, idx, score, k):
     return query[keep], idx[keep], score[keep]
 
 
-def _block_hits(block, ids, matrix, rows, k):
-    """Hits of some queries in one block of vectors. A block keeps all scores that tie with its k-th."""
-    scores = np.round(matrix[rows] @ block.T, SCORE_DIGITS)
+def _block_hits(scores, ids, rows, k):
+    """Hits in one block from its query × row scores. A block keeps all scores that tie with its k-th."""
+    scores = np.round(scores, SCORE_DIGITS)
     if scores.shape[1] > k:
         floor = np.partition(scores, -k, axis=1)[:, -k][:, None]
         q, v = np.nonzero(scores >= floor)
@@ -49,6 +49,18 @@ def _block_hits(block, ids, matrix, rows, k):
     return rows[q], ids[v], scores[q, v]
 
 
+HITS = "query_id long, idx long, score double"
+
+
+def _task_top_k(query_ids, blocks, k):
+    """Running top k per query over the hits of one task, as a single Arrow batch."""
+    best = (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0))
+    for hits in blocks:
+        best = _best_of(*[np.concatenate(p) for p in zip(best, hits)], k)
+    return pa.RecordBatch.from_arrays([pa.array(query_ids[best[0]]), pa.array(best[1]), pa.array(best[2])],
+                                      names=["query_id", "idx", "score"])
+
+
 def _scan(corpus, query_ids, matrix, k, by_cell=None):
     """Score a batch of queries against every partition and send on k hits per query and task.
 
@@ -60,22 +72,22 @@ def _scan(corpus, query_ids, matrix, k, by_cell=None):
 
     def run(batches):
         q_ids, q_matrix, cells = shared.value
-        best = (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0))
-        for batch in batches:
-            block = _matrix(batch.column("embedding"))
-            ids = batch.column("idx").to_numpy(zero_copy_only=False)
-            groups = [(everyone, slice(None))]
-            if cells is not None:
-                cell = batch.column("cell").to_numpy(zero_copy_only=False)
-                groups = [(cells[c], cell == c) for c in np.unique(cell) if c in cells]
-            for rows, part in groups:
-                hits = _block_hits(block[part], ids[part], q_matrix, rows, k)
-                best = _best_of(*[np.concatenate(p) for p in zip(best, hits)], k)
-        yield pa.RecordBatch.from_arrays([pa.array(q_ids[best[0]]), pa.array(best[1]), pa.array(best[2])],
-                                         names=["query_id", "idx", "score"])
+
+        def blocks():
+            for batch in batches:
+                block = _matrix(batch.column("embedding"))
+                ids = batch.column("idx").to_numpy(zero_copy_only=False)
+                groups = [(everyone, slice(None))]
+                if cells is not None:
+                    cell = batch.column("cell").to_numpy(zero_copy_only=False)
+                    groups = [(cells[c], cell == c) for c in np.unique(cell) if c in cells]
+                for rows, part in groups:
+                    yield _block_hits(q_matrix[rows] @ block[part].T, ids[part], rows, k)
+
+        yield _task_top_k(q_ids, blocks(), k)
 
     columns = ["idx", "embedding"] + (["cell"] if by_cell is not None else [])
-    return corpus.select(*columns).mapInArrow(run, "query_id long, idx long, score double")
+    return corpus.select(*columns).mapInArrow(run, HITS)
 
 
 def _query_blocks(queries):
@@ -185,70 +197,102 @@ def bm25_tokens(c):
     return X.tokenize(F.lower(c), "whitespace")
 
 
+def bm25_idf(n, df):
+    return F.log(n - df + 0.5) - F.log(df + 0.5)
+
+
+def document_frequencies(docs, text="text", only=None):
+    """(term, df) over the whole vocabulary, or over some terms. The distinct tokens of a document are found
+    inside its row, and tokens not asked for never leave it."""
+    tokens = docs.select(F.array_distinct(bm25_tokens(F.col(text))).alias("_d"))
+    kept = F.col("_d") if only is None else X.keep_words("_d", only)
+    return unnest(tokens.select(kept.alias("_k")), [], "_k", "term").groupBy("term").agg(F.count("*").alias("df"))
+
+
 def bm25_statistics(docs, text="text"):
     """One row: n_docs, avg_len and the mean idf over the whole vocabulary, the base of the floor for terms
     found in more than half of the documents."""
-    tokens = docs.select(bm25_tokens(F.col(text)).alias("t"))
-    shape = tokens.agg(F.count("*").alias("n_docs"), F.avg(F.size("t")).alias("avg_len"))
-    vocabulary = (tokens.select(F.explode(F.array_distinct("t")).alias("term"))
-                  .groupBy("term").agg(F.count("*").alias("df")))
+    vocabulary = document_frequencies(docs, text)
+    shape = docs.select(F.size(bm25_tokens(F.col(text))).alias("len")).agg(
+        F.count("*").alias("n_docs"), F.avg("len").alias("avg_len"))
     n = shape.select("n_docs").scalar()
-    mean = vocabulary.agg(F.avg(bm25_idf(n, F.col("df"))).alias("m")).scalar()
-    return shape.withColumn("mean_idf", mean)
+    return shape.withColumn("mean_idf", vocabulary.agg(F.avg(bm25_idf(n, F.col("df"))).alias("m")).scalar())
 
 
-def bm25_idf(n, df):
-    return F.log(n - df + 0.5) - F.log(df + 0.5)
+def _asked_blocks(queries, text):
+    """Query terms as Arrow tables (query_id, term, qtf; term null for a query without words), in blocks of a
+    checked size."""
+    asked = (queries.select(F.col("query_id").cast("long"), F.explode_outer(bm25_tokens(F.col(text))).alias("term"))
+             .groupBy("query_id", "term").agg(F.count("*").alias("qtf")))
+    whole = collect_bounded(asked)
+    if whole is not None:
+        return [whole]
+    # Too many for one pass: cut the queries by hash. One query is never split.
+    n = 2 * (asked.count() // config.BROADCAST_ROWS + 1)
+    part = F.pmod(F.xxhash64("query_id"), F.lit(n))
+    return [asked.filter(part == i).toArrow() for i in range(n)]
 
 
 def bm25_top_k(queries, docs, k=config.TOP_K, id_col="idx", text="text",
                k1=config.BM25_K1, b=config.BM25_B, epsilon=config.BM25_EPSILON):
-    """(query_id, idx, score, rank) for (query_id, text) queries over whole documents.
+    """(query_id, idx, score, rank) for (query_id, text) queries over whole documents; exact.
 
-    Tokens outside the queries are dropped inside the row. What is left is hashed by document once:
-    term counts, the sum per query and the task-side cut to k all happen there, so only k rows per
-    query and task are exchanged. Documents without any query term score 0 and fill up to k.
+    Corpus statistics come from Spark aggregations. The scoring pass shuffles nothing: tokens outside
+    the queries are dropped inside the row, each task turns its rows into a term-count matrix, multiplies
+    it with the query weights, and sends on k hits per query. Every document is scored, so those without
+    any query term take part with score 0.
     """
-    asked = (queries.select("query_id", F.explode(bm25_tokens(F.col(text))).alias("term"))
-             .groupBy("query_id", "term").agg(F.count("*").alias("qtf")))
-    terms = collect_bounded(asked.select("term").distinct())
-    tokens = docs.select(F.col(id_col).cast("long").alias("idx"), bm25_tokens(F.col(text)).alias("_t"))
-    if terms is not None:
-        words = terms.column("term").to_pylist()
-        wanted = F.filter("_t", lambda t: X.in_words(t, words))
-    else:
-        wanted = F.col("_t")
-    tokens = bind(tokens, _wanted=wanted)
-    postings = (unnest(tokens, ["idx", F.size("_t").alias("len")], "_wanted", "term")
-                .repartition("idx").groupBy("idx", "len", "term").agg(F.count("*").alias("tf")))
-    stats = bm25_statistics(docs, text).select(F.struct("n_docs", "avg_len", "mean_idf").alias("s")).scalar()
-    present = tokens.select(F.explode(F.array_distinct("_wanted")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    idf = bm25_idf(stats["n_docs"], F.col("df"))
-    weights = (asked.join(present, "term")
-               .withColumn("w", F.col("qtf") * F.when(idf < 0, stats["mean_idf"] * epsilon).otherwise(idf))
-               .select("query_id", "term", "w"))
-    saturated = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / stats["avg_len"]))
-    scored = (postings.join(small_side(weights), "term")
-              .groupBy("idx", "query_id").agg(F.round(F.sum(F.col("w") * saturated), SCORE_DIGITS).alias("score")))
-    return _fill_with_zeros(top_k(scored, k), queries, docs, id_col, k)
-
-
-def _fill_with_zeros(hits, queries, docs, id_col, k):
-    """Add score-0 documents, lowest id first, to queries with fewer than k hits of at least 0.
-
-    Such a query has fewer than k matching documents, so the first 2k documents hold enough others.
-    (Scores below 0 need a mean idf below 0, where the average word is in most documents. There a
-    collection of up to 2k documents is still filled from all of them.)
-    """
-    hits = small_side(hits)
-    counted = hits.filter(F.col("score") >= 0).groupBy("query_id").agg(F.count("*").alias("n"))
-    short = (queries.select("query_id").join(counted, "query_id", "left")
-             .filter(F.coalesce("n", F.lit(0)) < k).select("query_id"))
-    pool = (docs.select(F.col(id_col).cast("long").alias("idx")).orderBy("idx").limit(2 * k)
-            .agg(F.collect_list("idx").alias("pool")).scalar())
-    zeros = (short.withColumn("idx", F.explode(pool)).join(hits, ["query_id", "idx"], "left_anti")
-             .withColumn("score", F.lit(0.0)))
-    return top_k(hits.drop("rank").unionByName(zeros), k)
+    stats = bm25_statistics(docs, text).head()
+    found = None
+    for asked in _asked_blocks(queries, text):
+        if asked.num_rows:
+            part = _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        return queries.sparkSession.createDataFrame([], HITS + ", rank int")
+    return top_k(found, k)
+
+
+def _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon):
+    spark = docs.sparkSession
+    terms = sorted({t for t in asked.column("term").to_pylist() if t is not None})
+    query_ids = np.unique(asked.column("query_id").to_numpy())
+    # At most one row per term asked for.
+    counted = document_frequencies(docs, text, terms).toArrow()
+    df = dict(zip(counted.column("term").to_pylist(), counted.column("df").to_pylist()))
+    weights = np.zeros((len(query_ids), len(terms)))
+    column = {t: i for i, t in enumerate(terms)}
+    row = {q: i for i, q in enumerate(query_ids.tolist())}
+    for q, t, qtf in zip(*[asked.column(c).to_pylist() for c in ("query_id", "term", "qtf")]):
+        if t in df:
+            idf = np.log(stats["n_docs"] - df[t] + 0.5) - np.log(df[t] + 0.5)
+            weights[row[q], column[t]] = qtf * (idf if idf >= 0 else epsilon * stats["mean_idf"])
+    shared = spark.sparkContext.broadcast((query_ids, weights, terms, stats["avg_len"]))
+    every_row = np.arange(len(query_ids))
+    step = max(1, 4_000_000 // max(1, len(terms)))
+
+    def run(batches):
+        q_ids, w, words, avg_len = shared.value
+        known = pa.array(words, pa.string())
+
+        def blocks():
+            for batch in batches:
+                for start in range(0, batch.num_rows, step):
+                    part = batch.slice(start, step)
+                    tokens = part.column("tokens")
+                    where = np.repeat(np.arange(part.num_rows), np.diff(tokens.offsets.to_numpy()))
+                    ids = pa.compute.index_in(tokens.flatten().cast(pa.string()), known).to_numpy(zero_copy_only=False)
+                    tf = np.bincount(where * len(words) + ids, minlength=part.num_rows * len(words)) \
+                        .reshape(part.num_rows, len(words)).astype("float64")
+                    length = part.column("len").to_numpy(zero_copy_only=False)[:, None]
+                    gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / avg_len))
+                    yield _block_hits(w @ gain.T, part.column("idx").to_numpy(zero_copy_only=False), every_row, k)
+
+        yield _task_top_k(q_ids, blocks(), k)
+
+    tokens = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).cast("long").alias("idx"), bm25_tokens(F.col(text)).alias("_t"))
+    kept = tokens.select("idx", F.size("_t").alias("len"), X.keep_words("_t", terms).alias("tokens"))
+    return kept.mapInArrow(run, HITS)
 
 
 def compare(dense, keyword):
