@@ -77,8 +77,7 @@ def test_bm25_in_blocks_equals_one_pass(spark, monkeypatch):
                                                                                (("a", 2), ("b", 3), ("c", 5), ("d", 7))]).alias("text"))
     asked = spark.range(20).select(F.col("id").alias("query_id"), F.concat(F.lit("a1 b"), F.col("id") % 3, F.lit(" d"), F.col("id") % 7).alias("text"))
     whole = sorted(map(tuple, SE.bm25_top_k(asked, docs, 5).collect()))
-    monkeypatch.setattr("textsignal.config.BROADCAST_ROWS", 10)
-    monkeypatch.setattr(SE.collect_bounded, "__defaults__", (10,))
+    monkeypatch.setattr("textsignal.config.TERM_BLOCK", 10)
     assert sorted(map(tuple, SE.bm25_top_k(asked, docs, 5).collect())) == whole and len(whole) == 100
 
 

@@ -1,8 +1,8 @@
 """Every registered query with SQL gives the same rows in DuckDB on the same tables."""
-import math
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
@@ -22,7 +22,7 @@ def duck():
 
 
 def rows(df):
-    show = lambda v: "NULL" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v)
+    show = lambda v: "NULL" if pd.isna(v) else f"{v:.6g}" if isinstance(v, float) else str(v)
     return sorted(tuple(show(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
 
 

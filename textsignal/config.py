@@ -41,3 +41,5 @@ BROADCAST_ROWS = 50_000
 LITERAL_WORDS = 50_000
 # Query vectors scored per pass over the corpus.
 QUERY_BLOCK = 4_096
+# Query terms per pass of keyword search; bounds the query × term weight matrix.
+TERM_BLOCK = 8_192

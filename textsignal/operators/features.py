@@ -3,7 +3,7 @@ from pyspark.sql import Window as W, functions as F
 
 from textsignal import config
 from textsignal.functions import text as X
-from textsignal.operators.bounds import bind, unnest
+from textsignal.operators.bounds import unnest
 
 
 def row_counts(df):
@@ -44,7 +44,16 @@ def collection_counts(df, terms="terms"):
 
 def top_terms(counts, n=config.MAX_FEATURES):
     """The n most used terms; ties alphabetically. The limit also proves the size of the result."""
-    return counts.orderBy(F.desc("cf"), "term").limit(n)
+    return _first_terms(counts, "cf", n)
+
+
+def _first_terms(counts, by, n, parts=64):
+    """First n terms by count, then name. Hash parts are cut to n each before the final sort, so the task
+    that orders the result sees a fixed number of rows and not the whole vocabulary."""
+    part = F.pmod(F.xxhash64("term"), F.lit(parts))
+    rank = F.row_number().over(W.partitionBy("_part").orderBy(F.desc(by), "term"))
+    cut = counts.withColumn("_part", part).withColumn("_r", rank).filter(F.col("_r") <= n).drop("_part", "_r")
+    return cut.orderBy(F.desc(by), "term").limit(n)
 
 
 def prune_terms(counts, n_docs, min_df=config.LDA_MIN_DF, max_df=config.LDA_MAX_DF, keep=config.LDA_KEEP_TERMS):
@@ -52,8 +61,7 @@ def prune_terms(counts, n_docs, min_df=config.LDA_MIN_DF, max_df=config.LDA_MAX_
 
     `n_docs` is a Column, normally a scalar subquery.
     """
-    return (counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
-            .orderBy(F.desc("df"), "term").limit(keep))
+    return _first_terms(counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs)), "df", keep)
 
 
 def document_count(df):
@@ -86,8 +94,10 @@ def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES):
 
 
 def with_terms(df, text, n=1, name="terms"):
-    """Vectoriser terms of a text column: word tokens and their n-grams up to n."""
-    return bind(bind(df, _words=X.features_tokens(F.col(text))), **{name: X.grams_up_to(F.col("_words"), n)}).drop("_words")
+    """Vectoriser terms of a text column: word tokens and their n-grams up to n. Plain columns, so that a
+    plan that does not use them (a row count) drops them."""
+    return (df.withColumn("_words", X.features_tokens(F.col(text)))
+            .withColumn(name, X.grams_up_to(F.col("_words"), n)).drop("_words"))
 
 
 def histogram(df, col, bins=50):

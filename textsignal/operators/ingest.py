@@ -44,14 +44,14 @@ def keep_first_copy(df, text="text", order=("source_rank", "post_id")):
 
     Copies are found on a 32-byte digest with a map-side minimum, so a text that makes up a
     third of the table still arrives as one row per task, and no text is sorted or grouped.
-    The texts themselves are moved once, for a semi-join on the unique row key. That join is a
-    hash join: the winners side is narrow and its keys are spread evenly.
+    The texts themselves are moved once, for a semi-join on the row key, whose values are unique and so
+    spread evenly.
     """
     key = F.struct(*[F.col(c) for c in order])
     first = (df.select(F.unhex(F.sha2(F.col(text), 256)).alias("digest"), key.alias("row_key"))
              .groupBy("digest").agg(F.min("row_key").alias("row_key"))
              .select(*[F.col("row_key")[c].alias(c) for c in order]))
-    return df.join(first.hint("shuffle_hash"), list(order), "left_semi")
+    return df.join(first, list(order), "left_semi")
 
 
 def merge_sources(frames):

@@ -224,11 +224,11 @@ def _asked_blocks(queries, text):
     checked size."""
     asked = (queries.select(F.col("query_id").cast("long"), F.explode_outer(bm25_tokens(F.col(text))).alias("term"))
              .groupBy("query_id", "term").agg(F.count("*").alias("qtf")))
-    whole = collect_bounded(asked)
+    whole = collect_bounded(asked, config.TERM_BLOCK)
     if whole is not None:
         return [whole]
     # Too many for one pass: cut the queries by hash. One query is never split.
-    n = 2 * (asked.count() // config.BROADCAST_ROWS + 1)
+    n = 2 * (asked.count() // config.TERM_BLOCK + 1)
     part = F.pmod(F.xxhash64("query_id"), F.lit(n))
     return [asked.filter(part == i).toArrow() for i in range(n)]
 
