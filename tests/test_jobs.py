@@ -118,6 +118,11 @@ def test_word_vectors(spark, corpus):
     assert sum(r["count"] for r in info) == 200 and all(len(r["representation"]) == 4 for r in info)
 
 
+def test_own_encoder(spark, corpus):
+    out = EM.encode_with(corpus, "post_id", "text", lambda: lambda texts: [[t.count("a"), t.count("i") + 1] for t in texts], 7)
+    assert out.count() == 200 and sum(x * x for x in out.head()["embedding"]) == pytest.approx(1)
+
+
 def test_lda_reports_k_topics(spark, corpus):
     counter, lda = T.fit_lda(corpus.select(F.split("text", " ").alias("tokens")), topics=3, passes=4)
     terms = T.topic_terms(counter, lda, 5)

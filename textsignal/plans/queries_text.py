@@ -113,7 +113,8 @@ def lemma_join(spark, d):
     return joined_.groupBy(F.coalesce("lemma", "token").alias("lemma")).agg(F.count("*").alias("n"))
 
 
-_CASES = "".join(f" WHEN regexp_matches(e.token, {S.lit(p)}) THEN {S.lit(v)}" for p, v in vocab.SUFFIX_TAGS)
+_SHAPES = [("^[0-9]+$", "CD"), *((f"({'|'.join(e)})$", v) for v, e in vocab.SUFFIX_TAGS), ("[^s]s$", "NNS")]
+_CASES = "".join(f" WHEN regexp_matches(e.token, {S.lit(p)}) THEN {S.lit(v)}" for p, v in _SHAPES)
 
 
 @query(f"""WITH t AS ({CLEAN_TOKENS}), e AS (SELECT doc_id, unnest(range(len(tk))) AS pos, unnest(tk) AS token FROM t),

@@ -101,15 +101,15 @@ COMPOUND_ALPHA = 15.0
 CONTRACTIONS = {"cannot": ("can", "not"), "gimme": ("gim", "me"), "gonna": ("gon", "na"),
                 "gotta": ("got", "ta"), "lemme": ("lem", "me"), "wanna": ("wan", "na")}
 
-# Word shapes that decide a part of speech when the lexicon has no entry, first hit wins.
+# Word endings that decide a part of speech when the lexicon has no entry, first hit wins.
 SUFFIX_TAGS = [
-    ("^[0-9]+$", "CD"),
-    ("(ous|ful|less|ive|able|ible|ish|ic|al)$", "JJ"),
-    ("ly$", "RB"),
-    ("ing$", "VBG"),
-    ("ed$", "VBD"),
-    ("[^s]s$", "NNS"),
+    ("JJ", "ous ful less ive able ible ish ic al".split()),
+    ("RB", ["ly"]),
+    ("VBG", ["ing"]),
+    ("VBD", ["ed"]),
 ]
+NUMBER_TAG = "CD"
+PLURAL_TAG = "NNS"
 DEFAULT_TAG = "NN"
 FUNCTION_WORD_TAG = "FW"
 
