@@ -200,17 +200,22 @@ def lookup(x, table, default=None):
 def part_of_speech(token, known_tag, function_words=vocab.STOPWORDS):
     """Lexicon tag if there is one, else a tag from the word's shape. Endings are compared as strings; a
     regular expression per token would cost several times as much."""
-    tag = F.when(known_tag.isNotNull(), known_tag).when(in_words(token, function_words),
-                                                        vocab.FUNCTION_WORD_TAG)
+    tag = F.when(in_words(token, function_words), vocab.FUNCTION_WORD_TAG)
     tag = tag.when(F.translate(token, "0123456789", "") == "", vocab.NUMBER_TAG)
     for value, endings in vocab.SUFFIX_TAGS:
         tag = tag.when(reduce(lambda a, b: a | b, [token.endswith(e) for e in endings]), value)
     plural = token.endswith("s") & ~token.endswith("ss") & (F.length(token) > 1)
-    return tag.when(plural, vocab.PLURAL_TAG).otherwise(vocab.DEFAULT_TAG)
+    return F.coalesce(known_tag, tag.when(plural, vocab.PLURAL_TAG).otherwise(vocab.DEFAULT_TAG))
 
 
 def is_adjective_or_noun(tag):
-    return tag.startswith("JJ") | tag.startswith("NN")
+    # One use of the tag, so that its rules run once.
+    return F.substring(tag, 1, 2).isin("JJ", "NN")
+
+
+def keep_adjectives_and_nouns(tokens, tags, function_words=vocab.STOPWORDS):
+    """Tokens tagged JJ* or NN*, from a token → tag dictionary with word-shape defaults, inside the row."""
+    return F.filter(tokens, lambda t: is_adjective_or_noun(part_of_speech(t, lookup(t, tags), function_words)))
 
 
 def row_hash(seed, *cols):

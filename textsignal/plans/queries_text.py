@@ -128,6 +128,12 @@ def adj_noun_tokens(spark, d):
     return out.select("doc_id", F.array_join("tokens", " ").alias("tokens_adj_noun"))
 
 
+@query(SQL["adj_noun_tokens"])
+def adj_noun_tokens_in_row(spark, d):
+    kept = X.keep_adjectives_and_nouns(F.col("tokens"), I.TAGS)
+    return bind(_word_tokens(spark, d), _kept=kept).select("doc_id", F.array_join("_kept", " ").alias("tokens_adj_noun"))
+
+
 @query()
 def stem_counts(spark, d):
     return TK.stem_counts(TK.explode_tokens(_word_tokens(spark, d), "doc_id"))
