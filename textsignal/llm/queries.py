@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import bpe, simhash
+from textsignal.llm import bpe, pii, quality, secrets, simhash
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -11,6 +11,48 @@ def documents(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def labels(spark, d):
+    return spark.read.parquet(f"{d}/labels.parquet")
+
+
+def span_text(spans):
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def count_kind(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def quality_model(spark, docs, d):
+    """The model of the labels outside the held-out third."""
+    known = labels(spark, d)
+    return quality.fit(docs, known.filter(~quality.held_out("doc_id")))
+
+
+@query()
+def op1_pii(spark, d):
+    found = pii.scan(documents(spark, d).select("doc_id", "text")).drop("text")
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+    scores = F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",")
+    return found.select("doc_id", *[count_kind("pii", k) for k in pii.BASE], F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(F.col("pii")).alias("spans"), scores.alias("scores"))
+
+
+@query()
+def op5_quality(spark, d):
+    docs = documents(spark, d).select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, docs, d)).drop("text")
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op8_secrets(spark, d):
+    found = secrets.scan(documents(spark, d).select("doc_id", "text")).drop("text")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", *[count_kind("secrets", k) for k in secrets.BASE], F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans"))
+
+
 @query()
 def op9_simhash(spark, d):
     grouped = simhash.group(documents(spark, d))
