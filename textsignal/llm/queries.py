@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import bpe, pii, quality, secrets, simhash
+from textsignal.llm import bpe, pii, quality, secrets, simhash, suffixes
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -46,6 +46,11 @@ def op5_quality(spark, d):
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query()
+def op6_suffixes(spark, d):
+    return suffixes.cut_repeats(documents(spark, d).select("doc_id", "text"))
+
+
 @query()
 def op8_secrets(spark, d):
     found = secrets.scan(documents(spark, d).select("doc_id", "text")).drop("text")
