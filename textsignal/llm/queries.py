@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import bpe, pii, quality, secrets, simhash, suffixes
+from textsignal.llm import bpe, decontaminate, pii, quality, secrets, simhash, suffixes
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -39,6 +39,12 @@ def op1_pii(spark, d):
                         span_text(F.col("pii")).alias("spans"), scores.alias("scores"))
 
 
+@query()
+def op4_decontamination(spark, d):
+    marked = decontaminate.mark(documents(spark, d).select("doc_id", "text"), spark.read.parquet(f"{d}/benchmark.parquet"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 @query()
 def op5_quality(spark, d):
     docs = documents(spark, d).select("doc_id", "text")
