@@ -24,10 +24,11 @@ def written(df, name):
 
 
 def string_buffer(column):
-    """A pyarrow string column as (uint8 data, int64 offsets); nulls count as empty."""
+    """A pyarrow string or binary column as (uint8 data, int64 offsets); nulls count as empty."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = column.cast(pa.large_binary())
+    column = pc.fill_null(column, b"")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     _, offsets, data = column.buffers()

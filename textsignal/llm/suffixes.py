@@ -4,7 +4,8 @@ Of the suffixes, only those at anchors are sorted: the anchor of a window is the
 hashed K-gram, so equal windows have equal anchors at equal offsets, and an anchor stands for the run of windows
 that share it (about 85). The passes take ever more bytes around an anchor, most significant digit first, and keep
 only groups that can still hold equal windows: (1) the K-gram, (2) the whole run of windows, whose copies are
-settled at once, (3) single windows, where runs with the same K-gram differ. The groups left are exactly the
+settled at once, (3) single windows, where runs with the same K-gram differ; only one run of each kind is
+opened for that. The groups left are exactly the
 repeated windows. Digits are hashes; the last two passes compare 128 bits.
 """
 import hashlib
@@ -18,6 +19,8 @@ from textsignal.llm.common import RangeHash, byte_codes, mix, ragged, slices, st
 WINDOW = 200
 GRAM = 32
 SLICE_BYTES = 4 << 20
+# Runs of one K-gram that a task compares; a K-gram with more different runs is counted window by window in Spark.
+CROWD = 20_000
 CODES = (byte_codes(1), byte_codes(2))
 
 
@@ -80,17 +83,64 @@ def _unpacked(value):
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), "uint8")
 
 
+def _open_runs(batches):
+    """The bytes of each run that is still open."""
+    for batch in batches:
+        for k, packed, found in zip(batch.column("key").to_pylist(), batch.column("packed"), batch.column("found").to_pylist()):
+            data = _unpacked(packed.as_py()).tobytes()
+            names = ("gram", "crowded", "first", "more", "n")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(found), pa.int64()), *(pa.array([r[c] for r in found], t) for c, t in zip(names, (pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()))),
+                 pa.array([data[r["first"]:r["first"] + r["more"] + WINDOW] for r in found], pa.binary())], names=["key", *names, "bytes"])
+
+
+RUNS = "key long, gram long, crowded boolean, first int, more int, n long, bytes binary"
+
+
+def _hashes(batch):
+    """Of every window in the runs of a batch: run, offset in the run, both hashes."""
+    data, offsets = string_buffer(batch.column("bytes"))
+    more = batch.column("more").to_numpy(zero_copy_only=False).astype("int64")
+    start = ragged(offsets[:-1], more + 1)
+    run = np.repeat(np.arange(len(more)), more + 1)
+    return run, start - offsets[run], *(RangeHash(codes[data]).of(start, start + WINDOW) for codes in CODES)
+
+
+def _settle(batches):
+    """Ranges of repeated windows among runs that are sorted by K-gram; only whole groups are compared."""
+    def settled(batch):
+        run, offset, h1, h2 = _hashes(batch)
+        n, first, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "first", "key"))
+        order = np.lexsort((h2, h1))
+        new = np.flatnonzero(np.concatenate([[True], (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])]))
+        total = np.repeat(np.add.reduceat(n[run[order]], new), np.diff(np.append(new, len(order))))
+        twice = np.zeros(len(order), bool)
+        twice[order] = total > 1
+        at = np.flatnonzero(twice & (n[run] == 1))
+        begin = at[np.concatenate([[True], (run[at][1:] != run[at][:-1]) | (at[1:] != at[:-1] + 1)])] if len(at) else at
+        end = at[np.concatenate([(run[at][1:] != run[at][:-1]) | (at[1:] != at[:-1] + 1), [True]])] if len(at) else at
+        place = lambda x: (first[run[x]] + offset[x]).astype("int32")
+        return pa.RecordBatch.from_arrays([pa.array(key[run[begin]]), pa.array(place(begin)), pa.array(place(end) + np.int32(WINDOW))], names=["key", "begin", "end"])
+
+    held = None
+    for batch in batches:
+        held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        gram = held.column("gram").to_numpy(zero_copy_only=False)
+        cut = np.flatnonzero(gram != gram[-1]) if len(gram) else []
+        if len(cut):
+            yield settled(held.slice(0, cut[-1] + 1))
+            held = held.slice(cut[-1] + 1)
+    if held is not None and held.num_rows:
+        yield settled(held)
+
+
 def _windows(batches):
-    """Both hashes of every window of the given runs."""
+    """Both hashes of every window of the given runs, as rows."""
     for batch in batches:
-        key = batch.column("key").to_numpy(zero_copy_only=False)
-        for k, packed, found in zip(key, batch.column("packed"), batch.column("found").to_pylist()):
-            data = _unpacked(packed.as_py())
-            first, more, count = (np.array([r[c] for r in found], "int64") for c in ("first", "more", "n"))
-            start = ragged(first, more + 1)
-            hashes = [RangeHash(codes[data]).of(start, start + WINDOW).view("int64") for codes in CODES]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), k)), pa.array(start.astype("int32")),
-                                              pa.array(np.repeat(count, more + 1)), *map(pa.array, hashes)], names=["key", "start", "n", "h1", "h2"])
+        run, offset, h1, h2 = _hashes(batch)
+        key, first, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "first", "n"))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[run], (first[run] + offset).astype("int32"), n[run], h1.view("int64"), h2.view("int64"))],
+                                         names=["key", "start", "n", "h1", "h2"])
 
 
 def merge(begin, end):
@@ -135,18 +185,19 @@ def repeated_ranges(docs):
     groups = written(groups, "groups")
     copied = shared.join(groups.filter("n > 1").select("gram", "run"), ["gram", "run"], "left_semi")
     whole = copied.select("key", F.col("first").alias("begin"), (F.col("first") + F.col("more") + WINDOW).alias("end"))
-    # Runs that share the K-gram but not all bytes: one of each kind is taken apart into windows. Equal rows of
-    # documents share a key and are read once; they already count in n.
-    mixed = written(groups.groupBy("gram").count().filter("count > 1").select("gram"), "mixed")
-    open_runs = groups.join(mixed, "gram", "left_semi").select("at.key", F.struct("at.first", "at.more", "n").alias("one"))
-    wanted = open_runs.groupBy("key").agg(F.collect_list("one").alias("found"))
+    # Runs that share the K-gram but not all bytes: one of each kind is opened. Equal rows of documents share a key
+    # and are read once; they already count in n.
+    mixed = groups.groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > CROWD).alias("crowded"))
+    unsettled = groups.join(written(mixed, "mixed"), "gram").select("at.key", F.struct("gram", "crowded", "at.first", "at.more", "n").alias("one"))
+    wanted = unsettled.groupBy("key").agg(F.collect_list("one").alias("found"))
     texts = docs.mapInArrow(_pack, "key long, doc_id long, packed binary").select("key", "packed")
     once = texts.join(wanted, "key").dropDuplicates(["key"])
-    apart = once.select("key", "packed", "found").mapInArrow(_windows, "key long, start int, n long, h1 long, h2 long")
-    windows = written(apart, "windows")
+    opened = written(once.select("key", "packed", "found").mapInArrow(_open_runs, RUNS), "opened")
+    few = opened.filter("not crowded").repartition("gram").sortWithinPartitions("gram").mapInArrow(_settle, "key long, begin int, end int")
+    windows = written(opened.filter("crowded").mapInArrow(_windows, "key long, start int, n long, h1 long, h2 long"), "windows")
     twice = written(windows.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2"), "twice")
-    single = windows.filter("n = 1").join(twice, ["h1", "h2"], "left_semi")
-    return whole.union(single.select("key", F.col("start").alias("begin"), (F.col("start") + WINDOW).alias("end")))
+    many = windows.filter("n = 1").join(twice, ["h1", "h2"], "left_semi").select("key", F.col("start").alias("begin"), (F.col("start") + WINDOW).alias("end"))
+    return whole.union(few).union(many)
 
 
 def cut_repeats(docs):
