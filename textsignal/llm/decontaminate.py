@@ -19,7 +19,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 # Items held by a task at a time; a larger benchmark takes several passes over the row.
 ITEM_BLOCK = 20_000
-SLICE_BYTES = 512 << 10
+SLICE_BYTES = 128 << 10
 CODES = byte_codes(4)
 # Window sizes in words: each about a sixth more than the one before; counts stay below 128 in a byte.
 SIZES = sorted({int(round(1.17 ** i)) for i in range(1, 31)} | set(range(1, 9)))
