@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import bpe, decontaminate, pii, quality, secrets, simhash, suffixes
+from textsignal.llm import balltree, bpe, decontaminate, pii, quality, secrets, simhash, suffixes
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -39,6 +39,19 @@ def op1_pii(spark, d):
                         span_text(F.col("pii")).alias("spans"), scores.alias("scores"))
 
 
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op2_topk(spark, d):
+    points = balltree.scaled(spark.read.parquet(f"{d}/embeddings.parquet"))
+    return balltree.top_k(points, points.filter("vec_id % 50 = 0"), 5)
+
+
 @query()
 def op4_decontamination(spark, d):
     marked = decontaminate.mark(documents(spark, d).select("doc_id", "text"), spark.read.parquet(f"{d}/benchmark.parquet"))
