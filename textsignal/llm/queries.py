@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import balltree, bpe, decontaminate, pii, quality, secrets, simhash, suffixes
+from textsignal.llm import balltree, bpe, decontaminate, pages, pii, quality, secrets, simhash, suffixes
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -52,6 +52,11 @@ def op2_topk(spark, d):
     return balltree.top_k(points, points.filter("vec_id % 50 = 0"), 5)
 
 
+@query()
+def op3_pages(spark, d):
+    return pages.main_text(spark.read.parquet(f"{d}/pages.parquet"))
+
+
 @query()
 def op4_decontamination(spark, d):
     marked = decontaminate.mark(documents(spark, d).select("doc_id", "text"), spark.read.parquet(f"{d}/benchmark.parquet"))
