@@ -18,7 +18,7 @@ from textsignal.llm.common import RangeHash, byte_codes, mix, ragged, slices, st
 
 WINDOW = 200
 GRAM = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Runs of one K-gram that a task compares; a K-gram with more different runs is counted window by window in Spark.
 CROWD = 20_000
 CODES = (byte_codes(1), byte_codes(2))
