@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: each operator over its whole table."""
 from pyspark.sql import functions as F
 
-from textsignal.llm import balltree, bpe, decontaminate, pages, pii, quality, secrets, simhash, suffixes
+from textsignal.llm import balltree, bpe, decontaminate, licenses, pages, pii, quality, secrets, simhash, suffixes
 from textsignal.llm.common import registry
 
 QUERIES, SQL, query = registry()
@@ -75,6 +75,11 @@ def op6_suffixes(spark, d):
     return suffixes.cut_repeats(documents(spark, d).select("doc_id", "text"))
 
 
+@query()
+def op7_licenses(spark, d):
+    return licenses.listed(documents(spark, d))
+
+
 @query()
 def op8_secrets(spark, d):
     found = secrets.scan(documents(spark, d).select("doc_id", "text")).drop("text")

@@ -228,7 +228,8 @@ def labels(prints):
 
 def one_of_each(docs):
     """The rows of documents with one row of each group of near copies: the one with the smallest id."""
-    marked = with_fingerprint(docs)
-    prints = written(marked.select("doc_id", "fp"), "prints")
-    kept = marked.join(labels(prints), "fp", "left").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return kept.dropDuplicates(["root"]).select(*docs.columns)
+    marked = with_fingerprint(docs, name="_fp")
+    prints = written(marked.select("doc_id", F.col("_fp").alias("fp")), "prints")
+    groups = labels(prints).select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_first"))
+    kept = marked.join(groups, "_fp", "left").filter(F.col("doc_id").eqNullSafe(F.col("_first")))
+    return kept.dropDuplicates(["_root"]).select(*docs.columns)
