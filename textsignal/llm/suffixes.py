@@ -21,6 +21,7 @@ GRAM = 32
 SLICE_BYTES = 1 << 20
 # Runs of one K-gram that a task compares; a K-gram with more different runs is counted window by window in Spark.
 CROWD = 20_000
+PIECE_RUNS = 1_000
 CODES = (byte_codes(1), byte_codes(2))
 
 
@@ -98,12 +99,16 @@ RUNS = "key long, gram long, crowded boolean, first int, more int, n long, bytes
 
 
 def _hashes(batch):
-    """Of every window in the runs of a batch: run, offset in the run, both hashes."""
-    data, offsets = string_buffer(batch.column("bytes"))
-    more = batch.column("more").to_numpy(zero_copy_only=False).astype("int64")
-    start = ragged(offsets[:-1], more + 1)
-    run = np.repeat(np.arange(len(more)), more + 1)
-    return run, start - offsets[run], *(RangeHash(codes[data]).of(start, start + WINDOW) for codes in CODES)
+    """Of every window in the runs of a batch: run, offset in the run, both hashes. Hashed piece by piece, since that takes many times the bytes."""
+    parts = [(np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, "uint64"), np.zeros(0, "uint64"))]
+    for at in range(0, batch.num_rows, PIECE_RUNS):
+        piece = batch.slice(at, PIECE_RUNS)
+        data, offsets = string_buffer(piece.column("bytes"))
+        more = piece.column("more").to_numpy(zero_copy_only=False).astype("int64")
+        start = ragged(offsets[:-1], more + 1)
+        run = np.repeat(np.arange(len(more)), more + 1)
+        parts.append((run + at, start - offsets[run], *(RangeHash(codes[data]).of(start, start + WINDOW) for codes in CODES)))
+    return [np.concatenate(p) for p in zip(*parts)]
 
 
 def _settle(batches):
