@@ -174,7 +174,9 @@ def test_extractive_rules(spark):
 def test_second_summary_passes_short_text_through(spark):
     df = spark.createDataFrame([(1, "a few  words only"), (2, "One two three four five six. " * 400)], "id long, text string")
     out = {r["id"]: r["centroid_summary"] for r in SU.centroid(df, "id", "text").collect()}
-    assert out[1] == "a few words only" and len(out[2].split()) == 18
+    assert out[1] == "a few  words only" and len(out[2].split()) == 18
+    cut = {r["id"]: r["centroid_summary"] for r in SU.centroid(df, "id", "text", max_words=3).collect()}
+    assert cut == {1: "a few words", 2: "One two three"}
 
 
 def test_hot_cluster_is_cut_before_the_exchange(spark):

@@ -74,9 +74,10 @@ def test_entity_map_and_json(spark):
     assert out == {1: '{"MEDICATION":["zoloft","prozac"],"DIAGNOSIS":["anxiety"],"TEMPORAL":["3 years ago"]}', 2: "{}"}
 
 
-def test_phrases_beyond_the_cut_are_not_seen_but_times_are(spark):
+def test_phrases_are_found_in_the_whole_text_unless_it_is_cut(spark):
     df = spark.createDataFrame([(1, "x " * 600 + "zoloft since 2020")], "id long, text_clean_deep string")
-    assert E.extract(df).head()["entities"] == {"TEMPORAL": ["since 2020"]}
+    assert E.extract(df).head()["entities"] == {"MEDICATION": ["zoloft"], "TEMPORAL": ["since 2020"]}
+    assert E.extract(df, max_chars=1000).head()["entities"] == {"TEMPORAL": ["since 2020"]}
     assert E.extract(df, max_chars=None).head()["entities"]["MEDICATION"] == ["zoloft"]
 
 

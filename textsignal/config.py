@@ -4,19 +4,16 @@
 SEED = 42
 TEST_SIZE = 0.15
 VAL_SIZE = 0.15
-MAX_TOKENS = 512
 MAX_FEATURES = 10_000
 LDA_TOPICS = 10
 LDA_WORDS = 8
 LDA_PASSES = 10
 LDA_MIN_DF = 5
 LDA_MAX_DF = 0.5
-LDA_KEEP_TERMS = 100_000
 W2V_SIZE = 300
 W2V_WINDOW = 5
 W2V_MIN_COUNT = 3
 W2V_EPOCHS = 10
-TOPIC_SAMPLE = 5_000
 TOP_K = 10
 OVERFETCH = 3
 IVF_CELLS = 100
@@ -25,20 +22,14 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 POSITIVE_FROM = 0.05
 NEGATIVE_TO = -0.05
-ENTITY_CHARS = 1000
-SECOND_TAGGER_CHARS = 512
 SNIPPET_CHARS = 200
 SUMMARY_SENTENCES = 3
-SUMMARY_WORDS = 900
 SUMMARY_MIN_WORDS = 50
-SUMMARY_FALLBACK_CHARS = 300
 POSTS_PER_CLUSTER = 20
 MIN_SENTENCE_WORDS = 4
 
 # A side is broadcast only after it was shown to hold at most this many rows.
 BROADCAST_ROWS = 50_000
-# Word lists that become literals inside expressions are limited to this size.
-LITERAL_WORDS = 50_000
 # Query vectors scored per pass over the corpus.
 QUERY_BLOCK = 4_096
 # Query terms per pass of keyword search; bounds the query × term weight matrix.

@@ -102,11 +102,9 @@ def split_contractions(c):
 
 
 def word_list(words):
-    """A checked literal word list for use inside expressions."""
-    words = sorted(set(words))
-    if len(words) > config.LITERAL_WORDS:
-        raise ValueError(f"{len(words)} words are too many for literals; use the join form")
-    return words
+    """A word list as the caller holds it, without repeats, for use inside expressions. The expression carries
+    every word; lists of more than some ten thousand words are better joined as tables."""
+    return sorted(set(words))
 
 
 def in_words(x, words):
@@ -162,7 +160,7 @@ def head_words(c, n):
     return F.array_join(F.slice(tokenize(c, "whitespace"), 1, n), " ")
 
 
-def head_tokens(tokens, n=config.MAX_TOKENS):
+def head_tokens(tokens, n):
     return F.slice(tokens, 1, n)
 
 
@@ -187,8 +185,6 @@ def lookup(x, table, default=None):
     by_value = {}
     for word, value in table.items():
         by_value.setdefault(value, []).append(word)
-    if sum(map(len, by_value.values())) > config.LITERAL_WORDS:
-        raise ValueError("table too large for literals; use the join form")
     branches = [(x.isin(words), F.lit(value)) for value, words in by_value.items()]
     if not branches:
         return F.lit(default)

@@ -117,14 +117,20 @@ def load_model(path):
     return PipelineModel.load(path)
 
 
+def _model_text(text, max_tokens):
+    """The words of the whole text, or of its first `max_tokens` words."""
+    tokens = X.tokenize(F.col(text))
+    return F.array_join(tokens if max_tokens is None else X.head_tokens(tokens, max_tokens), " ")
+
+
 def fit_with_validation(df, text, label, id_col, strengths=(10.0, 1.0, 0.1, 0.01), patience=2,
-                        max_tokens=config.MAX_TOKENS):
+                        max_tokens=None):
     """Fit on 70 %, choose the regularisation by weighted F1 on 15 %, report on the last 15 %.
 
     Candidates run from strong to weak; the search stops after `patience` of them without gain.
     Returns (model, report on the test part, label map, choice table).
     """
-    usable = df.select(id_col, F.array_join(X.head_tokens(X.tokenize(F.col(text)), max_tokens), " ").alias(text), label) \
+    usable = df.select(id_col, _model_text(text, max_tokens).alias(text), label) \
         .na.drop(subset=[text, label])
     parts = (stratified_split(usable, label, id_col, [("test", config.TEST_SIZE), ("val", config.VAL_SIZE)])
              .persist(StorageLevel.MEMORY_AND_DISK))
@@ -152,12 +158,12 @@ def fit_with_validation(df, text, label, id_col, strengths=(10.0, 1.0, 0.1, 0.01
     return best, report, label_map, spark.createDataFrame(tried, "strength double, f1_weighted double")
 
 
-def predict(model, df, text, labels, id_col, max_tokens=config.MAX_TOKENS):
+def predict(model, df, text, labels, id_col, max_tokens=None):
     """(id, label, ranking): top label and all labels with probabilities, for a table of texts.
 
     Row-wise only, so it also scores a stream.
     """
-    cut = df.select(id_col, F.array_join(X.head_tokens(X.tokenize(F.col(text)), max_tokens), " ").alias(text))
+    cut = df.select(id_col, _model_text(text, max_tokens).alias(text))
     probs = vector_to_array("probability")
     ranked = V.ranked_labels(F.array(*[F.lit(l) for l in labels]), probs)
     return (model.transform(cut).withColumn("ranking", ranked)

@@ -5,7 +5,7 @@
 """
 from pyspark.sql import functions as F
 
-from textsignal import config, vocab
+from textsignal import vocab
 from textsignal.functions import text as X
 from textsignal.operators.bounds import bind
 
@@ -91,9 +91,9 @@ def entity_map(entities):
         F.transform(F.filter(entities, lambda e: e["label"] == l), lambda e: e["phrase"]).alias("value"))))
 
 
-def extract(df, phrases=None, text="text_clean_deep", max_chars=config.ENTITY_CHARS, name="entities"):
-    """Add the entity map of a post: phrases from the first `max_chars` characters, and TEMPORAL, only if
-    there is any, from the whole text."""
+def extract(df, phrases=None, text="text_clean_deep", max_chars=None, name="entities"):
+    """Add the entity map of a post: phrases of the whole text (or of its first `max_chars` characters, if asked),
+    and TEMPORAL, only if there is any, from the whole text."""
     times = X.temporal_expressions(F.col(text))
     found = bind(with_phrases(df, phrases, text, max_chars, "_phrases"), _times=times)
     both = F.when(F.size("_times") > 0,
@@ -102,7 +102,7 @@ def extract(df, phrases=None, text="text_clean_deep", max_chars=config.ENTITY_CH
     return found.withColumn(name, both).drop("_phrases", "_times")
 
 
-def extract_second(df, phrases, text="text_clean_deep", max_chars=config.SECOND_TAGGER_CHARS,
+def extract_second(df, phrases, text="text_clean_deep", max_chars=None,
                    name="second_entities"):
     """A second, independent tagger from another gazetteer; an empty map where nothing is found."""
     return (with_phrases(df, phrases, text, max_chars, "_phrases")

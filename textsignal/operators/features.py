@@ -50,14 +50,16 @@ def top_terms(counts, n=config.MAX_FEATURES):
 def _first_terms(counts, by, n, parts=64):
     """First n terms by count, then name. Hash parts are cut to n each before the final sort, so the task
     that orders the result sees a fixed number of rows and not the whole vocabulary."""
+    if n is None:
+        return counts
     part = F.pmod(F.xxhash64("term"), F.lit(parts))
     rank = F.row_number().over(W.partitionBy("_part").orderBy(F.desc(by), "term"))
     cut = counts.withColumn("_part", part).withColumn("_r", rank).filter(F.col("_r") <= n).drop("_part", "_r")
     return cut.orderBy(F.desc(by), "term").limit(n)
 
 
-def prune_terms(counts, n_docs, min_df=config.LDA_MIN_DF, max_df=config.LDA_MAX_DF, keep=config.LDA_KEEP_TERMS):
-    """Terms in at least `min_df` documents and in at most a `max_df` share, the most frequent `keep` of them.
+def prune_terms(counts, n_docs, min_df=config.LDA_MIN_DF, max_df=config.LDA_MAX_DF, keep=None):
+    """Terms in at least `min_df` documents and in at most a `max_df` share: all of them, or the most frequent `keep`.
 
     `n_docs` is a Column, normally a scalar subquery.
     """
@@ -74,12 +76,12 @@ def smooth_idf(n, df):
 
 
 def bag_of_words(df, id_col, vocabulary, terms="terms"):
-    """In-vocabulary (id, term, tf). The vocabulary has a proven bound (see top_terms, prune_terms)."""
-    return term_counts(df, id_col, terms).join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
+    """In-vocabulary (id, term, tf). The vocabulary may be of any size: Spark broadcasts it only if it turns out small."""
+    return term_counts(df, id_col, terms).join(vocabulary.select("term"), "term", "left_semi")
 
 
 def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES):
-    """(id, term, tf, weight): smooth idf, rows of unit length, vocabulary cut to the most used terms.
+    """(id, term, tf, weight): smooth idf, rows of unit length, vocabulary cut to the most used terms, or whole with None.
 
     The vocabulary is counted from the same per-document counts, so both branches start from one
     exchange and the text is tokenised once.
@@ -88,7 +90,8 @@ def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES):
     stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     vocabulary = (top_terms(stats, max_features)
                   .withColumn("idf", smooth_idf(document_count(df), F.col("df"))).select("term", "idf"))
-    raw = tf.join(F.broadcast(vocabulary), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    bounded = max_features is not None and max_features <= config.BROADCAST_ROWS
+    raw = tf.join(F.broadcast(vocabulary) if bounded else vocabulary, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(id_col)))
     return raw.select(id_col, "term", "tf", (F.col("raw") / norm).alias("weight"))
 

@@ -74,8 +74,8 @@ def confusion_long(preds):
 
 
 def confusion_wide(preds, labels):
-    """One row per true label, one column per predicted label; `labels` fixes the columns."""
-    return (preds.groupBy("y_true").pivot("y_pred", labels).count().na.fill(0))
+    """One row per label, also for one that is only predicted, and one column per predicted label; `labels` fixes the columns."""
+    return confusion_long(preds).groupBy("y_true").pivot("y_pred", labels).agg(F.sum("n")).na.fill(0)
 
 
 def ranking(preds, by="model"):

@@ -67,15 +67,17 @@ SQL_MOODY = f"concat({sql_choose(MOODS, 'doc_id')}, text)"
 
 
 def clinical_text():
-    """A drug, two diagnoses that may nest or overlap, and a time phrase before the text."""
+    """A drug, two diagnoses that may nest or overlap, and a time phrase before the text; another drug and diagnosis behind it."""
     return F.concat(F.lit("took "), choose(vocab.MEDICATIONS, "doc_id"), F.lit(" for "), choose(vocab.DIAGNOSES, "doc_id"),
                     F.lit(" and social anxiety disorder then bipolar disorder "), choose(TIMES, "doc_id"),
-                    F.lit("the new york times asked doctor smith "), F.col("text"))
+                    F.lit("the new york times asked doctor smith "), F.col("text"), F.lit("\nlater "), choose(vocab.MEDICATIONS, "doc_id"),
+                    F.lit(" for panic disorder in berlin "), choose(TIMES, "n_chars"))
 
 
 SQL_CLINICAL = (f"concat('took ', {sql_choose(vocab.MEDICATIONS, 'doc_id')}, ' for ', {sql_choose(vocab.DIAGNOSES, 'doc_id')}, "
                 f"' and social anxiety disorder then bipolar disorder ', {sql_choose(TIMES, 'doc_id')}, "
-                "'the new york times asked doctor smith ', text)")
+                "'the new york times asked doctor smith ', text, chr(10), 'later ', "
+                f"{sql_choose(vocab.MEDICATIONS, 'doc_id')}, ' for panic disorder in berlin ', {sql_choose(TIMES, 'n_chars')})")
 
 
 def longs(df):

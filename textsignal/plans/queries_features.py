@@ -72,7 +72,7 @@ def tfidf_unigrams(spark, d):
     return _weights(spark, d, 1)
 
 
-PRUNED = "p AS (SELECT * FROM s WHERE df >= 5 AND df <= 0.5 * (SELECT count(*) FROM w) ORDER BY df DESC, term LIMIT 100000)"
+PRUNED = "p AS (SELECT * FROM s WHERE df >= 5 AND df <= 0.5 * (SELECT count(*) FROM w))"
 
 
 @query(f"WITH {UNI}, {STATS}, {PRUNED} SELECT * FROM p")
@@ -264,28 +264,44 @@ def extractive_summary(spark, d):
     return SU.extractive(docs(spark, d).select("doc_id", "text"), "doc_id", "text").select("doc_id", "extractive_summary")
 
 
-def _cut_sql(inner):
-    return f"{inner}, mega AS (SELECT id, array_to_string({S.tokens('body')}[1:900], ' ') AS body FROM full_mega)"
-
-
-CENTROID_DOCS = _cut_sql("full_mega AS (SELECT doc_id AS id, text AS body FROM documents)")
 CENTROID_OUT = f"SELECT id, CASE WHEN len({S.tokens('body')}) < 50 THEN body ELSE summary END AS s FROM out"
 
 
-@query(f"WITH {CENTROID_DOCS}, {_ranked_sql(CENTROID)} SELECT id AS doc_id, s AS centroid_summary FROM ({CENTROID_OUT})")
+@query(f"WITH {PER_DOC}, {_ranked_sql(CENTROID)} SELECT id AS doc_id, s AS centroid_summary FROM ({CENTROID_OUT})")
 def centroid_summary(spark, d):
     return SU.centroid(docs(spark, d).select("doc_id", "text"), "doc_id", "text").select("doc_id", "centroid_summary")
 
 
-FULL_MEGA = MEGA.replace("mega AS", "full_mega AS")
-CLUSTERS = f"""ex AS (WITH mega AS (SELECT id, body FROM full_mega), {_ranked_sql(EXTRACTIVE)} SELECT id, summary FROM out),
-ce AS (WITH mega AS (SELECT id, array_to_string({S.tokens('body')}[1:900], ' ') AS body FROM full_mega), {_ranked_sql(CENTROID)} {CENTROID_OUT})"""
-
-
-@query(f"""WITH {FULL_MEGA}, {CLUSTERS} SELECT m.id AS cluster_id, m.n_posts, ex.summary AS extractive_summary, ce.s AS centroid_summary
-FROM full_mega m JOIN ex ON ex.id = m.id JOIN ce ON ce.id = m.id""")
+# Sentences of all posts of a cluster: each cluster is one corpus, its sentences in order of post and place.
+CLUSTER_TERMS = f"""sp AS (SELECT source AS id, doc_id AS post, {S.sentences('text')} AS s FROM documents WHERE text IS NOT NULL AND source IS NOT NULL),
+se AS (SELECT id, post, unnest(range(len(s))) AS sent, unnest(s) AS sentence FROM sp),
+n AS (SELECT id, count(*) AS n_sent FROM se GROUP BY id),
+tm AS (SELECT id, post, sent, unnest(list_filter({S.feature_tokens('sentence')}, lambda x: x NOT IN {S.in_list(vocab.STOPWORDS)})) AS term FROM se),
+tf AS (SELECT id, post, sent, term, count(*) AS tf FROM tm GROUP BY ALL)"""
+CLUSTER_EXTRACTIVE = """d AS (SELECT id, term, count(*) AS df FROM tf GROUP BY ALL),
+w1 AS (SELECT tf.id, post, sent, tf * (ln((1.0::DOUBLE + n_sent) / (1.0::DOUBLE + df)) + 1) AS w
+  FROM tf JOIN d ON d.id = tf.id AND d.term = tf.term JOIN n ON n.id = tf.id),
+s1 AS (SELECT id, post, sent, round(sum(w) / sqrt(sum(w * w)), 9) AS score FROM w1 GROUP BY ALL)"""
+CLUSTER_CENTROID = """i AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM n)) / (1.0::DOUBLE + count(DISTINCT id))) + 1 AS idf FROM tf GROUP BY term),
+w2 AS (SELECT id, post, sent, tf.term, tf * idf AS w FROM tf JOIN i ON i.term = tf.term),
+c AS (SELECT id, term, sum(w) AS c FROM w2 GROUP BY ALL), cn AS (SELECT id, sqrt(sum(c * c)) AS cn FROM c GROUP BY id),
+s2 AS (SELECT w2.id, post, sent, round(sum(w * c) / (sqrt(sum(w * w)) * max(cn)), 9) AS score
+  FROM w2 JOIN c ON c.id = w2.id AND c.term = w2.term JOIN cn ON cn.id = w2.id GROUP BY ALL)"""
+
+
+def _best_of_cluster(scores):
+    return f"""(SELECT id, string_agg(sentence, ' ' ORDER BY post, sent) AS summary FROM (
+  SELECT se.id, se.post, se.sent, sentence, row_number() OVER (PARTITION BY se.id ORDER BY coalesce(score, 0) DESC, se.post DESC, se.sent DESC) AS r
+  FROM se LEFT JOIN {scores} s ON s.id = se.id AND s.post = se.post AND s.sent = se.sent) WHERE r <= 3 GROUP BY id)"""
+
+
+@query(f"""WITH {CLUSTER_TERMS}, {CLUSTER_EXTRACTIVE}, {CLUSTER_CENTROID}, 
+p AS (SELECT source AS id, count(*) AS n_posts, string_agg(text, ' ' ORDER BY doc_id) FILTER (r <= 3) AS body FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL AND source IS NOT NULL) GROUP BY source)
+SELECT p.id AS cluster_id, n_posts, coalesce(a.summary, body) AS extractive_summary, coalesce(b.summary, body) AS centroid_summary
+FROM p LEFT JOIN {_best_of_cluster('s1')} a ON a.id = p.id LEFT JOIN {_best_of_cluster('s2')} b ON b.id = p.id""")
 def cluster_summaries(spark, d):
-    return SU.summarize_clusters(docs(spark, d), "source", "doc_id", 15)
+    return SU.summarize_clusters(docs(spark, d), "source", "doc_id")
 
 
 CLEANED = f"SELECT source AS id, {S.deep('text')} AS text, doc_id FROM documents"
@@ -346,7 +362,7 @@ def rouge_stemmed(spark, d):
 
 @query()
 def rouge_mean(spark, d):
-    table_ = SU.summarize_clusters(docs(spark, d), "source", "doc_id", 15)
+    table_ = SU.summarize_clusters(docs(spark, d), "source", "doc_id")
     named = table_.withColumnsRenamed({"centroid_summary": "generated", "extractive_summary": "reference"})
     return R.mean_scores(R.rouge(named, "cluster_id"))
 

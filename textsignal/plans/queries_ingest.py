@@ -130,7 +130,7 @@ def truncations(spark, d):
     df = table(spark, d, "documents")
     return longs(df.select("doc_id", X.snippet(F.col("text")).alias("snippet"), X.head_chars(F.col("text"), 80).alias("c80"),
                            F.md5(X.head_words(F.col("text"), 900)).alias("words900"),
-                           F.size(X.head_tokens(X.tokenize(F.col("text"), "whitespace"))).alias("n512")))
+                           F.size(X.head_tokens(X.tokenize(F.col("text"), "whitespace"), 512)).alias("n512")))
 
 
 @query("""SELECT doc_id, coalesce(TRY_CAST(CASE WHEN n_chars % 3 = 0 THEN n_chars::VARCHAR ELSE substring(text, 1, 5) END AS BIGINT), -1)

@@ -45,7 +45,7 @@ def predict_batch(spark, d):
     path = writers.scratch_dir(spark, "classifier")
     C.save_model(model, path)
     names = [r["label"] for r in label_map.orderBy("id").collect()]
-    out = C.predict(C.load_model(path), table(spark, d, "documents").select("doc_id", "text"), "text", names, "doc_id")
+    out = C.predict(C.load_model(path), table(spark, d, "documents").select("doc_id", X.clean_deep(F.col("text")).alias("text")), "text", names, "doc_id")
     return out.select("doc_id", "label", F.get("ranking", F.lit(0))["probability"].alias("probability"))
 
 
@@ -75,26 +75,25 @@ def lda_topics_json(spark, d):
 
 
 def _clusters(spark, d):
-    from textsignal.operators.rows import first_n
-    sample = first_n(_tokens(spark, d), 5000, "doc_id")
-    vectors = EM.document_vectors(sample, EM.train_word_vectors(sample, size=64), "doc_id")
+    tokens = _tokens(spark, d)
+    vectors = EM.document_vectors(tokens, EM.train_word_vectors(tokens, size=64), "doc_id")
     assigned = T.cluster_documents(vectors, "doc_id")
     path = writers.scratch_dir(spark, "topics")
     writers.write_table(assigned, path)
-    return sample, spark.read.parquet(path)
+    return tokens, spark.read.parquet(path)
 
 
 @query
 def topic_clusters(spark, d):
-    """Cluster of each of the first 5000 documents; the reported sample is what the operator takes."""
+    """Cluster of every document."""
     _, assigned = _clusters(spark, d)
     return longs(assigned)
 
 
 @query
 def topic_info(spark, d):
-    sample, assigned = _clusters(spark, d)
-    tokens = sample.join(assigned.select("doc_id", "topic"), "doc_id")
+    tokens, assigned = _clusters(spark, d)
+    tokens = tokens.join(assigned.select("doc_id", "topic"), "doc_id")
     keys = T.keywords(T.class_tfidf(tokens, "topic"), "topic")
     info = T.topic_info(assigned, keys, table(spark, d, "documents"), "doc_id", "text")
     return info.select("topic", "count", "name", F.array_join("representation", " ").alias("representation"),

@@ -235,7 +235,6 @@ ents AS (SELECT doc_id, unnest(list_reduce(cs, lambda acc, x: CASE WHEN len(list
 entities AS (SELECT doc_id, e.start::BIGINT AS start, e.n_words::BIGINT AS n_words, e.phrase AS phrase, e.label AS label FROM ents)"""
 
 
-ENTITY_1000 = _entity_sql(vocab.gazetteer(), config.ENTITY_CHARS)
 ENTITY_ALL = _entity_sql(vocab.gazetteer(), None)
 TEMPORAL_SQL = "list_concat(list_concat({0}, {1}), {2})"
 
@@ -248,9 +247,9 @@ def _entity_rows(df):
     return longs(df.select("doc_id", F.inline_outer("entities")).filter(F.col("phrase").isNotNull()))
 
 
-@query(f"WITH {ENTITY_1000} SELECT * FROM entities")
+@query(f"WITH {ENTITY_ALL} SELECT * FROM entities")
 def phrase_entities(spark, d):
-    return _entity_rows(E.with_phrases(_clinical(spark, d), max_chars=config.ENTITY_CHARS))
+    return _entity_rows(E.with_phrases(_clinical(spark, d)))
 
 
 @query(f"WITH {ENTITY_ALL} SELECT * FROM entities")
@@ -283,7 +282,7 @@ def temporal_entities(spark, d):
     return times.select("doc_id", joined("t").alias("times"))
 
 
-@query(f"""WITH {ENTITY_1000}, x AS (SELECT doc_id, {S.deep(I.SQL_CLINICAL)} AS c FROM documents),
+@query(f"""WITH {ENTITY_ALL}, x AS (SELECT doc_id, {S.deep(I.SQL_CLINICAL)} AS c FROM documents),
 m AS (SELECT doc_id, string_agg(phrase, '|' ORDER BY start) FILTER (label = 'MEDICATION') AS medication,
   string_agg(phrase, '|' ORDER BY start) FILTER (label = 'DIAGNOSIS') AS diagnosis FROM entities GROUP BY doc_id)
 SELECT x.doc_id, medication, diagnosis, CASE WHEN len({_TIME}) > 0 THEN array_to_string({_TIME}, '|') END AS temporal
@@ -299,32 +298,32 @@ def _frequencies(spark, d, label, name):
     return E.mention_counts(E.extract(_clinical(spark, d)), label, name=name)
 
 
-@query(f"WITH {ENTITY_1000} SELECT lower(phrase) AS medication, count(*) AS count FROM entities WHERE label = 'MEDICATION' GROUP BY ALL")
+@query(f"WITH {ENTITY_ALL} SELECT lower(phrase) AS medication, count(*) AS count FROM entities WHERE label = 'MEDICATION' GROUP BY ALL")
 def medication_frequencies(spark, d):
     return _frequencies(spark, d, "MEDICATION", "medication")
 
 
-@query(f"WITH {ENTITY_1000} SELECT lower(phrase) AS diagnosis, count(*) AS count FROM entities WHERE label = 'DIAGNOSIS' GROUP BY ALL")
+@query(f"WITH {ENTITY_ALL} SELECT lower(phrase) AS diagnosis, count(*) AS count FROM entities WHERE label = 'DIAGNOSIS' GROUP BY ALL")
 def diagnosis_frequencies(spark, d):
     return _frequencies(spark, d, "DIAGNOSIS", "diagnosis")
 
 
-@query(f"""WITH {ENTITY_1000} SELECT lower(phrase) AS diagnosis, count(*) AS count FROM entities WHERE label = 'DIAGNOSIS'
+@query(f"""WITH {ENTITY_ALL} SELECT lower(phrase) AS diagnosis, count(*) AS count FROM entities WHERE label = 'DIAGNOSIS'
 GROUP BY ALL ORDER BY count DESC, diagnosis LIMIT 15""")
 def top_diagnoses(spark, d):
     return _frequencies(spark, d, "DIAGNOSIS", "diagnosis").limit(15)
 
 
-@query(f"WITH {_entity_sql(I.NAMES, config.SECOND_TAGGER_CHARS)} SELECT label, phrase, count(*) AS n FROM entities GROUP BY ALL")
+@query(f"WITH {_entity_sql(I.NAMES, None)} SELECT label, phrase, count(*) AS n FROM entities GROUP BY ALL")
 def gazetteer_second_tagger(spark, d):
     found = E.extract_second(_clinical(spark, d), I.NAMES)
     return (found.select(F.explode("second_entities").alias("label", "phrases")).select("label", F.explode("phrases").alias("phrase"))
             .groupBy("label", "phrase").agg(F.count("*").alias("n")))
 
 
-@query(f"""WITH {ENTITY_1000}, s AS (SELECT doc_id FROM documents ORDER BY md5('42-' || doc_id), doc_id LIMIT 2000)
+@query(f"""WITH {ENTITY_ALL}, s AS (SELECT doc_id FROM documents ORDER BY md5('42-' || doc_id), doc_id LIMIT 2000)
 SELECT label, count(*) AS n FROM entities WHERE doc_id IN (SELECT doc_id FROM s) GROUP BY label""")
 def entities_of_sample(spark, d):
     from textsignal.operators.rows import sample_n
     picked = sample_n(docs(spark, d), 2000, "doc_id").select("doc_id", X.clean_deep(I.clinical_text()).alias("text_clean_deep"))
-    return _entity_rows(E.with_phrases(picked, max_chars=config.ENTITY_CHARS)).groupBy("label").agg(F.count("*").alias("n"))
+    return _entity_rows(E.with_phrases(picked)).groupBy("label").agg(F.count("*").alias("n"))

@@ -32,11 +32,14 @@ def read_int_map(df, column="json"):
 
 
 def scratch_dir(spark, name):
-    """A folder every executor can reach: the cluster's checkpoint folder; a temporary one in local mode."""
+    """A folder every executor can reach: the cluster's checkpoint folder. A temporary one serves in local mode only;
+    elsewhere a session without such a folder is refused, since executors would write to disks of their own."""
     import os
     import tempfile
     import uuid
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="textsignal-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

@@ -21,7 +21,7 @@ def enrich(posts, lexicon, phrases=None):
     """Cleaned posts with sentiment columns and the entity map as JSON."""
     cleaned = ingest.clean_posts(posts.na.drop(subset=["text", "label"]))
     scored = sentiment.score(cleaned, lexicon)
-    return entities.extract(scored, phrases, max_chars=config.ENTITY_CHARS).withColumn(
+    return entities.extract(scored, phrases).withColumn(
         "entities", entities.entity_json(F.col("entities")))
 
 
