@@ -1,5 +1,6 @@
 """Whole stages, streams and trained models, on small tables."""
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from textsignal.operators import classify as C, embeddings as EM, ingest, topics as T
@@ -129,3 +130,37 @@ def test_lda_reports_k_topics(spark, corpus):
     assert terms.count() == 15
     words = T.topic_word_lists(terms).orderBy("topic").collect()
     assert [r["topic"] for r in words] == ["topic_0", "topic_1", "topic_2"] and all(len(r["words"]) == 5 for r in words)
+
+
+def test_query_blocks_are_held_one_at_a_time(spark, monkeypatch):
+    from textsignal import config
+    from textsignal.operators import search as SE
+    vectors = spark.range(60).select(F.col("id").alias("idx"), F.array(F.sin("id"), F.cos("id")).alias("embedding"), F.lit("x").alias("label"))
+    queries = vectors.filter("idx % 3 = 0").select(F.col("idx").alias("query_id"), "embedding")
+    docs = spark.range(60).select(F.col("id").alias("idx"), F.concat_ws(" ", F.lit("w"), F.col("id") % 7, F.col("id") % 5).alias("text"))
+    asked = docs.filter("idx < 12").select(F.col("idx").alias("query_id"), "text")
+    rows_of = lambda df: sorted(map(str, df.collect()))
+    whole = rows_of(SE.dense_top_k(queries, vectors, 3)), rows_of(SE.bm25_top_k(asked, docs, 3))
+    monkeypatch.setattr(config, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(config, "TERM_BLOCK", 12)
+    live, most, read = set(), [], SE._over_blocks
+
+    def watched(blocks, scan):
+        def seen(table):
+            hits, shared = scan(table)
+            live.add(shared)
+            most.append(len(live))
+            release = shared.unpersist
+            shared.unpersist = lambda: (live.discard(shared), release())
+            return hits, shared
+        return read(blocks, seen)
+    monkeypatch.setattr(SE, "_over_blocks", watched)
+    assert (rows_of(SE.dense_top_k(queries, vectors, 3)), rows_of(SE.bm25_top_k(asked, docs, 3))) == whole
+    assert len(most) > 4 and max(most) <= 2
+
+
+def test_cell_search_without_queries(spark):
+    from textsignal.operators import search as SE
+    cells = spark.createDataFrame([(1, [1.0, 0.0], 0)], "idx long, embedding array<float>, cell int")
+    none = spark.createDataFrame([], "query_id long, embedding array<float>")
+    assert SE.ivf_top_k(none, cells, np.zeros((1, 2))).count() == 0

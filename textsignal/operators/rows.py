@@ -4,20 +4,20 @@ from pyspark.sql import Window as W, functions as F
 from textsignal import config
 from textsignal.functions import text as X
 from textsignal.operators.bounds import collect_bounded, local_table
+from textsignal.sources import writers
 
 
-def dense_index(df, order, name="idx", ranges=256):
-    """Dense 0-based position in the order of a unique column, without sorting in one task.
+def dense_index(df, *order, name="idx", ranges=None):
+    """Dense 0-based position in the order of some columns of any type, which must identify a row, without sorting in one task.
 
-    Quantiles cut the key into even ranges; rows are numbered inside their range and shifted by
-    the number of rows in the ranges before it.
+    Rows are cut into ranges and stored with the number of their range, numbered inside it, and shifted by the number of
+    rows in the ranges before; `ranges` defaults to the session's shuffle partitions.
     """
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = df.select(F.percentile_approx(order, steps, 10_000).alias("cuts")).head()["cuts"] or []
-    edges = sorted(set(cuts))
-    bounds = F.array(*[F.lit(e) for e in edges]) if edges else None
-    part = F.size(F.filter(bounds, lambda e: e <= F.col(order))) if edges else F.lit(0)
-    ranged = df.withColumn("_range", part)
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = writers.scratch_dir(spark, "ranges")
+    writers.write_table(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), path)
+    ranged = spark.read.parquet(path)
     # One row per range, and the number of ranges is fixed above.
     counts = collect_bounded(ranged.groupBy("_range").agg(F.count("*").alias("n")), ranges + 1).to_pydict()
     sizes = dict(zip(counts["_range"], counts["n"]))
@@ -26,8 +26,8 @@ def dense_index(df, order, name="idx", ranges=256):
         offsets["_range"].append(r)
         offsets["_before"].append(total)
         total += sizes[r]
-    before = local_table(df.sparkSession, offsets, "_range int, _before long")
-    in_range = F.row_number().over(W.partitionBy("_range").orderBy(order)).cast("long") - 1
+    before = local_table(spark, offsets, "_range int, _before long")
+    in_range = F.row_number().over(W.partitionBy("_range").orderBy(*order)).cast("long") - 1
     return (ranged.join(F.broadcast(before), "_range")
             .withColumn(name, F.col("_before") + in_range).drop("_range", "_before"))
 

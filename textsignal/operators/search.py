@@ -7,7 +7,7 @@ from pyspark.sql import Window as W, functions as F
 from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators.bounds import collect_bounded, small_side, unnest
-from textsignal.sources.writers import write_table
+from textsignal.sources.writers import scratch_dir, write_table
 
 SCORE_DIGITS = 9
 
@@ -82,28 +82,60 @@ def _scan(corpus, query_ids, matrix, k, by_cell=None):
                     cell = batch.column("cell").to_numpy(zero_copy_only=False)
                     groups = [(cells[c], cell == c) for c in np.unique(cell) if c in cells]
                 for rows, part in groups:
-                    yield _block_hits(q_matrix[rows] @ block[part].T, ids[part], rows, k)
+                    vectors, numbers = block[part], ids[part]
+                    # Slices keep the score matrix at some four million cells.
+                    step = max(k, 4_000_000 // max(1, len(q_matrix[rows])))
+                    for at in range(0, len(vectors), step):
+                        yield _block_hits(q_matrix[rows] @ vectors[at:at + step].T, numbers[at:at + step], rows, k)
 
         yield _task_top_k(q_ids, blocks(), k)
 
     columns = ["idx", "embedding"] + (["cell"] if by_cell is not None else [])
-    return corpus.select(*columns).mapInArrow(run, HITS)
+    return corpus.select(*columns).mapInArrow(run, HITS), shared
 
 
-def _query_blocks(queries):
-    """Query vectors as numpy, in blocks of a checked size: (ids, matrix)."""
-    queries = queries.select(F.col("query_id").cast("long"), "embedding").filter(F.col("embedding").isNotNull())
-    whole = collect_bounded(queries, config.QUERY_BLOCK)
+def _blocks(rows, size):
+    """A query table as Arrow tables of about `size` rows, read one at a time; no query is split over two."""
+    whole = collect_bounded(rows, size)
     if whole is not None:
-        blocks = [whole]
-    else:
-        # More queries than one block holds: cut them by hash until each block fits.
-        n = 2 * (queries.count() // config.QUERY_BLOCK + 1)
-        part = F.pmod(F.xxhash64("query_id"), F.lit(n))
-        blocks = [queries.filter(part == i).toArrow() for i in range(n)]
+        yield whole
+        return
+    # Cut by hash, from a stored copy, so that what made the queries runs once.
+    path = scratch_dir(rows.sparkSession, "queries")
+    write_table(rows, path)
+    rows = rows.sparkSession.read.parquet(path)
+    n = 2 * (rows.count() // size + 1)
+    for i in range(n):
+        yield rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i).toArrow()
+
+
+def _over_blocks(blocks, scan):
+    """Hits of all query blocks. A single block stays a lazy plan; of several, each is scored and stored before the
+    next one is read, so driver and executors hold one block at a time."""
+    found, held = None, None
     for table in blocks:
-        if table.num_rows:
-            yield table.column("query_id").to_numpy(), _matrix(table.column("embedding"))
+        if not table.num_rows:
+            continue
+        if held is not None:
+            found = _stored(held, found)
+        held = scan(table)
+    if found is None:
+        return held[0] if held is not None else None
+    return _stored(held, found)
+
+
+def _stored(held, found):
+    hits, shared = held
+    path = scratch_dir(hits.sparkSession, "hits")
+    write_table(hits, path)
+    shared.unpersist()
+    part = hits.sparkSession.read.schema(HITS).parquet(path)
+    return part if found is None else found.unionByName(part)
+
+
+def _query_blocks(queries):
+    """Query vectors in blocks of a checked size, one at a time."""
+    return _blocks(queries.select(F.col("query_id").cast("long"), "embedding").filter(F.col("embedding").isNotNull()), config.QUERY_BLOCK)
 
 
 def vector_table(df, id_col, embedding="embedding", text=None, label="label", source="source"):
@@ -136,10 +168,7 @@ def dense_top_k(queries, vectors, k=config.TOP_K, label_filter=None, mode="filte
     corpus = vectors.filter(F.col("label") == label_filter) if early else vectors
     corpus = corpus.filter(F.col("embedding").isNotNull()).withColumn("idx", F.col("idx").cast("long"))
     fetch = k if label_filter is None or early else config.OVERFETCH * k
-    found = None
-    for ids, matrix in _query_blocks(queries):
-        part = _scan(corpus, ids, matrix, fetch)
-        found = part if found is None else found.unionByName(part)
+    found = _over_blocks(_query_blocks(queries), lambda t: _scan(corpus, t.column("query_id").to_numpy(), _matrix(t.column("embedding")), fetch))
     if found is None:
         return queries.sparkSession.createDataFrame([], "query_id long, idx long, score double, rank int")
     hits = top_k(found, fetch)
@@ -174,13 +203,17 @@ def ivf_top_k(queries, cell_vectors, centres, k=config.TOP_K, nprobe=8):
 
     On a table partitioned by cell the filter below prunes partitions.
     """
-    found = None
-    for ids, matrix in _query_blocks(queries):
-        distance = ((centres[None, :, :] - matrix[:, None, :]) ** 2).sum(axis=2)
+    def scan(table):
+        ids, matrix = table.column("query_id").to_numpy(), _matrix(table.column("embedding"))
+        # Squared distances but for the query's own length, which orders nothing.
+        distance = (centres ** 2).sum(1) - 2 * matrix @ centres.T
         probed = np.argsort(distance, axis=1, kind="stable")[:, :nprobe]
         by_cell = {int(c): np.nonzero((probed == c).any(axis=1))[0] for c in np.unique(probed)}
-        part = _scan(cell_vectors.filter(F.col("cell").isin(sorted(by_cell))), ids, matrix, k, by_cell)
-        found = part if found is None else found.unionByName(part)
+        return _scan(cell_vectors.filter(F.col("cell").isin(sorted(by_cell))), ids, matrix, k, by_cell)
+
+    found = _over_blocks(_query_blocks(queries), scan)
+    if found is None:
+        return queries.sparkSession.createDataFrame([], "query_id long, idx long, score double, rank int")
     return top_k(found, k)
 
 
@@ -224,13 +257,7 @@ def _asked_blocks(queries, text):
     checked size."""
     asked = (queries.select(F.col("query_id").cast("long"), F.explode_outer(bm25_tokens(F.col(text))).alias("term"))
              .groupBy("query_id", "term").agg(F.count("*").alias("qtf")))
-    whole = collect_bounded(asked, config.TERM_BLOCK)
-    if whole is not None:
-        return [whole]
-    # Too many for one pass: cut the queries by hash. One query is never split.
-    n = 2 * (asked.count() // config.TERM_BLOCK + 1)
-    part = F.pmod(F.xxhash64("query_id"), F.lit(n))
-    return [asked.filter(part == i).toArrow() for i in range(n)]
+    return _blocks(asked, config.TERM_BLOCK)
 
 
 def bm25_top_k(queries, docs, k=config.TOP_K, id_col="idx", text="text",
@@ -243,11 +270,7 @@ def bm25_top_k(queries, docs, k=config.TOP_K, id_col="idx", text="text",
     any query term take part with score 0.
     """
     stats = bm25_statistics(docs, text).head()
-    found = None
-    for asked in _asked_blocks(queries, text):
-        if asked.num_rows:
-            part = _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon)
-            found = part if found is None else found.unionByName(part)
+    found = _over_blocks(_asked_blocks(queries, text), lambda asked: _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon))
     if found is None:
         return queries.sparkSession.createDataFrame([], HITS + ", rank int")
     return top_k(found, k)
@@ -292,7 +315,7 @@ def _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon):
 
     tokens = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).cast("long").alias("idx"), bm25_tokens(F.col(text)).alias("_t"))
     kept = tokens.select("idx", F.size("_t").alias("len"), X.keep_words("_t", terms).alias("tokens"))
-    return kept.mapInArrow(run, HITS)
+    return kept.mapInArrow(run, HITS), shared
 
 
 def compare(dense, keyword):

@@ -118,9 +118,9 @@ def first_n(spark, d):
     return rows.first_n(table(spark, d, "documents").select("doc_id", "lang"), 500, "doc_id")
 
 
-@query(f"WITH {SQL_POSTS} SELECT post_id, row_number() OVER (ORDER BY post_id, source) - 1 AS idx FROM posts WHERE source = 'forum'")
+@query(f"WITH {SQL_POSTS} SELECT post_id, source, row_number() OVER (ORDER BY post_id, source) - 1 AS idx FROM posts")
 def dense_row_id(spark, d):
-    return rows.dense_index(posts(spark, d).filter("source = 'forum'").select("post_id"), "post_id")
+    return rows.dense_index(posts(spark, d).select("post_id", "source"), "post_id", "source")
 
 
 @query(f"""WITH t AS (SELECT doc_id, text, {S.tokens('text')} AS tk FROM documents)

@@ -24,7 +24,7 @@ def vectors(spark, d):
     """The embeddings as a vector table; the text of a vector is the document with its id."""
     emb = table(spark, d, "embeddings")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text", "source")
-    return SE.vector_table(emb.join(docs, "vec_id"), "vec_id", text="text")
+    return SE.vector_table(emb.join(docs, "vec_id", "left"), "vec_id", text="text")
 
 
 def bare_vectors(spark, d):
@@ -77,9 +77,9 @@ def dense_overfetch(spark, d):
     return _shown(SE.dense_top_k(prototypes(spark, d), bare_vectors(spark, d), label_filter="3", mode="overfetch"))
 
 
-@query(f"""WITH {CORPUS}, {PROTO}, {SCORED}, r AS (SELECT *, {RANK} AS rank FROM sc WHERE idx IN (SELECT doc_id FROM documents))
+@query(f"""WITH {CORPUS}, {PROTO}, {SCORED}, r AS (SELECT *, {RANK} AS rank FROM sc)
 SELECT query_id, rank, idx, label, round(score, 4) AS score, replace(substring(d.text, 1, 200), chr(10), ' ') AS snippet
-FROM r JOIN documents d ON d.doc_id = r.idx WHERE rank <= 10""")
+FROM r LEFT JOIN documents d ON d.doc_id = r.idx WHERE rank <= 10""")
 def hit_display(spark, d):
     corpus = vectors(spark, d)
     return longs(SE.display(SE.with_metadata(SE.dense_top_k(prototypes(spark, d), corpus), corpus)))
@@ -162,18 +162,15 @@ def bm25_statistics(spark, d):
     return s.select("n_docs", F.round("avg_len", 6).alias("avg_len"), F.round("mean_idf", 6).alias("mean_idf"))
 
 
-BOTH_DOCS = "SELECT vec_id AS idx, text FROM embeddings JOIN documents ON doc_id = vec_id"
-
-
-@query(f"""WITH {CORPUS}, {_bm25_sql(ASK, BOTH_DOCS, 3)}, dq AS (SELECT item_id AS query_id, corpus.v FROM benchmark JOIN corpus ON idx = item_id),
-ds AS (SELECT query_id, corpus.idx, round(list_inner_product(dq.v, corpus.v), 9) AS score FROM dq CROSS JOIN corpus WHERE corpus.idx IN (SELECT doc_id FROM documents)),
+@query(f"""WITH {CORPUS}, {_bm25_sql(ASK, k=3)}, dq AS (SELECT item_id AS query_id, corpus.v FROM benchmark JOIN corpus ON idx = item_id),
+ds AS (SELECT query_id, corpus.idx, round(list_inner_product(dq.v, corpus.v), 9) AS score FROM dq CROSS JOIN corpus),
 dr AS (SELECT * FROM (SELECT *, {RANK} AS rank FROM ds) WHERE rank <= 10)
 SELECT coalesce(dr.query_id, bm.query_id) AS query_id, coalesce(dr.idx, bm.idx) AS idx, dr.rank AS dense_rank, bm.rank AS bm25_rank,
   round(dr.score, 6) AS dense_score, round(bm.score, 6) AS bm25_score FROM dr FULL OUTER JOIN bm ON bm.query_id = dr.query_id AND bm.idx = dr.idx""")
 def dense_vs_bm25(spark, d):
     """The same batch of queries through both searches; a query's vector is the one with its id."""
-    corpus = vectors(spark, d)
+    corpus = bare_vectors(spark, d)
     asked = _questions(spark, d)
     dense = SE.dense_top_k(asked.join(corpus.select(F.col("idx").alias("query_id"), "embedding"), "query_id"), corpus)
-    both = SE.compare(dense, SE.bm25_top_k(asked, corpus, k=3))
+    both = SE.compare(dense, SE.bm25_top_k(asked, _posts(spark, d), k=3))
     return longs(both.withColumns({c: F.round(c, 6) for c in ("dense_score", "bm25_score")}))
