@@ -15,8 +15,8 @@ from textsignal.llm.common import ragged, slices
 
 NONE = np.iinfo("int32").max
 # Bytes of text handled at once in a task, and cells of one matrix.
-SLICE_BYTES = 4 << 20
-MATRIX_CELLS = 1 << 20
+SLICE_BYTES = 2 << 20
+MATRIX_CELLS = 1 << 18
 
 
 class Ranks:

@@ -119,7 +119,7 @@ def scan(docs, text="text", name="licences"):
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 8 << 20, text):
+            for batch in slices(whole, 2 << 20, text):
                 found = [[dict(zip(("licence", "rule", "start", "end"), r)) for r in find(t)] for t in batch.column(text).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(found, inner)], names=schema.names)
     return docs.mapInArrow(run, schema)

@@ -111,7 +111,7 @@ def score(docs, model, text="text", name="score"):
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 8 << 20, text):
+            for batch in slices(whole, 2 << 20, text):
                 scores = [model.score(t) for t in batch.column(text).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(scores, pa.float64())], names=schema.names)
     return docs.mapInArrow(run, schema)

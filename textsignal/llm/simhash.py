@@ -118,7 +118,7 @@ def with_fingerprint(docs, text="text", name="fp"):
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 8 << 20, text):
+            for batch in slices(whole, 2 << 20, text):
                 prints = np.array([fingerprint(t) for t in batch.column(text).to_pylist()], "uint64").view("int64")
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(prints)], names=schema.names)
     return docs.mapInArrow(run, schema)
@@ -134,18 +134,16 @@ def _copies(batches):
 
 
 def _linked(prints):
-    """Index of the smallest linked member, over chains, for each fingerprint of one piece."""
-    label = np.arange(len(prints))
-    pairs = []
-    for at in range(0, len(prints), 512):
-        i, j = np.nonzero(popcount(prints[at:at + 512, None] ^ prints[None, at:]) <= THRESHOLD)
-        pairs.append(np.stack([i + at, j + at])[:, i < j])
-    i, j = np.concatenate(pairs, 1)
+    """Index of the smallest linked member, over chains, for each fingerprint of one piece.
+
+    Links are kept as packed bits, and labels are lowered block by block until nothing changes, so a piece in which
+    nearly all are linked takes no more memory than one without links.
+    """
+    step, n = 256, len(prints)
+    near = [np.packbits(popcount(prints[at:at + step, None] ^ prints[None]) <= THRESHOLD, axis=1) for at in range(0, n, step)]
+    label = np.arange(n, dtype="int32")
     while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
+        new = np.concatenate([np.where(np.unpackbits(part, axis=1, count=n).view(bool), label[None], np.int32(n)).min(1) for part in near])
         new = new[new]
         if (new == label).all():
             return label
