@@ -105,6 +105,7 @@ def train_and_rank(df, text, label, id_col, test_size=config.TEST_SIZE, models=N
     position = F.array_position(F.array(*[F.lit(n) for n in specs]), F.col("model"))
     scores = metrics.ranking(every).withColumn("position", position.cast("int"))
     scores = scores.sparkSession.createDataFrame(scores.toArrow(), schema=scores.schema)
+    parts.unpersist()
     best = metrics.best_model(scores).head()["model"]
     return scores, every, fitted, best
 
@@ -154,6 +155,9 @@ def fit_with_validation(df, text, label, id_col, strengths=(10.0, 1.0, 0.1, 0.01
     data.unpersist()
     report = metrics.report(predictions(best, test, id_col, label, indexer.labels, "best"))
     spark = df.sparkSession
+    # One row per class and average: taken now, so that the split need not stay cached.
+    report = spark.createDataFrame(report.toArrow(), schema=report.schema)
+    parts.unpersist()
     label_map = spark.createDataFrame(list(enumerate(indexer.labels)), "id int, label string")
     return best, report, label_map, spark.createDataFrame(tried, "strength double, f1_weighted double")
 

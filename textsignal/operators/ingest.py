@@ -7,17 +7,26 @@ from textsignal import vocab
 from textsignal.functions import text as X
 from textsignal.operators.bounds import keep_bound
 from textsignal.sources.readers import pick_column
+from textsignal.sources.writers import scratch_dir, write_table
 
 
 def from_forum(df, source, id_col=None):
     """Forum table → post schema. Text and label come by name, else from columns 0 and 1."""
+    df, id_col = (df, id_col) if id_col else (_numbered(df), "_row_id")
     return df.select(
-        (F.col(id_col) if id_col else F.monotonically_increasing_id()).cast("long").alias("post_id"),
+        F.col(id_col).cast("long").alias("post_id"),
         pick_column(df, ["post"], 0).cast("string").alias("text"),
         pick_column(df, ["label"], 1).cast("string").alias("label"),
         F.lit(source).alias("source"))
 
 
+def _numbered(df):
+    """Rows with generated ids, stored once: ids that are computed anew could differ after a retry."""
+    path = scratch_dir(df.sparkSession, "numbered")
+    write_table(df.withColumn("_row_id", F.monotonically_increasing_id()), path)
+    return df.sparkSession.read.parquet(path)
+
+
 def code_to_name(c, codes=None):
     """Integer code → name; a code outside the table, or null, becomes null."""
     codes = vocab.STRESS_CODES if codes is None else codes
@@ -26,8 +35,9 @@ def code_to_name(c, codes=None):
 
 def from_coded(df, source, codes=None, text="text", label="label", id_col=None):
     """Table with integer label codes → post schema."""
+    df, id_col = (df, id_col) if id_col else (_numbered(df), "_row_id")
     return df.select(
-        (F.col(id_col) if id_col else F.monotonically_increasing_id()).cast("long").alias("post_id"),
+        F.col(id_col).cast("long").alias("post_id"),
         F.col(text).cast("string").alias("text"),
         code_to_name(F.col(label), codes).cast("string").alias("label"),
         F.lit(source).alias("source"))

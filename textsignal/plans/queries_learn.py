@@ -1,5 +1,5 @@
 """Registered queries: trained models. Their numbers depend on the solver, so they are checked by
-invariants in the tests and have no SQL."""
+invariants: here where SQL can state them, else in the tests."""
 from pyspark.sql import functions as F
 
 from textsignal.functions import text as X
@@ -15,6 +15,13 @@ def query(fn):
     return fn
 
 
+def stated(sql):
+    def register(fn):
+        SQL[fn.__name__] = sql
+        return query(fn)
+    return register
+
+
 def _labelled(spark, d):
     """Documents with a class to learn: their toxicity flag, by name."""
     labels = table(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("label"))
@@ -49,6 +56,13 @@ def predict_batch(spark, d):
     return out.select("doc_id", "label", F.get("ranking", F.lit(0))["probability"].alias("probability"))
 
 
+@stated("SELECT doc_id, true AS known, true AS probable FROM documents")
+def predict_batch_cover(spark, d):
+    """Every document gets one of the classes, with at least the probability of an even guess."""
+    out = predict_batch(spark, d)
+    return out.select("doc_id", F.col("label").isin("toxic", "clean").alias("known"), (F.col("probability") >= 0.5).alias("probable"))
+
+
 @query
 def word_neighbours(spark, d):
     words = EM.word_table(EM.train_word_vectors(_tokens(spark, d)))
@@ -74,6 +88,15 @@ def lda_topics_json(spark, d):
     return writers.map_json(T.topic_word_lists(T.topic_terms(counter, lda)), "topic", "words")
 
 
+@stated("SELECT range::BIGINT AS topic, 8::BIGINT AS n_words, true AS ordered FROM range(10)")
+def lda_topics_shape(spark, d):
+    """Ten topics of eight different words, heaviest first."""
+    words = lda_topics(spark, d).groupBy("topic").agg(
+        F.count_distinct("term").alias("n_words"),
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "weight"))), lambda s: s["weight"]).alias("w"))
+    return longs(words.select("topic", "n_words", (F.col("w") == F.sort_array("w", asc=False)).alias("ordered")))
+
+
 def _clusters(spark, d):
     tokens = _tokens(spark, d)
     vectors = EM.document_vectors(tokens, EM.train_word_vectors(tokens, size=64), "doc_id")
@@ -90,6 +113,12 @@ def topic_clusters(spark, d):
     return longs(assigned)
 
 
+@stated("SELECT doc_id, true AS placed FROM documents")
+def topic_clusters_cover(spark, d):
+    """Every document has one of the topics or is an outlier."""
+    return topic_clusters(spark, d).select("doc_id", F.col("topic").between(-1, 19).alias("placed"))
+
+
 @query
 def topic_info(spark, d):
     tokens, assigned = _clusters(spark, d)
