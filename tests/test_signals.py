@@ -21,6 +21,8 @@ CASES = [
     ("so x good", 1.9 + 0.293 * 0.95), ("not x y good", 1.9 * -0.74), ("not x y z good", 1.9),
     ("never so good", (1.9 + 0.293) * 1.25), ("without doubt good", 1.9), ("good but bad", 1.9 * 0.5 - 2.5 * 1.5),
     ("bad bad but good", -2.5 * 0.5 * 2 + 1.9 * 1.5), ("no good", 1.9 * -0.74), ("no", -1.2), ("kind of bad", -2.5),
+    ("he was kind of bad", -2.5 - 0.293), ("he was kind of good", 1.9 - 0.293), ("it just enough good", 1.9 - 0.293), ("x y the bomb good", 3.0),
+    ("the bomb good", 1.9), ("a b c bad ass", 1.5), ("x yeah right good", -2.0), ("good yeah right good", 3.8),
     ("the least good", 1.9 * -0.74), ("at least good", 1.9), ("nothing here", 0.0), ("", 0.0), ("bad good", -2.5 + 1.9),
 ]
 

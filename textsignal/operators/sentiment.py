@@ -59,6 +59,17 @@ def _start(base, word, following_in_lexicon, p1, p2, p3):
             .when((word == "no") & following_in_lexicon, 0.0).otherwise(base))
 
 
+def _phrase(v, word, in_lexicon, p1, p2, p3, n1, n2, idioms, pairs):
+    """Idioms around a word replace its valence; two-word dampeners before it take from it whatever its sign. As published,
+    both are looked up only if a word outside the lexicon stands three places before."""
+    said = lambda *ws: F.concat(*[x for w in ws for x in (F.lit(" "), w)][1:])
+    found = [(said(word, n1, n2)), said(word, n1), said(p1, word), said(p2, p1, word), said(p2, p1), said(p3, p2, p1), said(p3, p2)]
+    value = F.coalesce(*[X.lookup(p, idioms) for p in found], v) if idioms else v
+    for p in (said(p3, p2), said(p2, p1)):
+        value = value - F.when(F.coalesce(X.in_words(p, pairs), F.lit(False)), vocab.BOOST).otherwise(0.0)
+    return F.when(p3.isNull() | in_lexicon, v).otherwise(value)
+
+
 def _least(v, p1, p1_in_lexicon, p2):
     """`least` turns a word round, except in `at least` and `very least`."""
     turned = _is(p1, "least") & ~p1_in_lexicon & ~_is(p2, "at", "very")
@@ -79,10 +90,10 @@ def _scores(total, pos_sum, neg_sum, neu, n):
             "neg": share(F.abs(neg_sum)), "neu": share(neu)}
 
 
-def score(df, lexicon, text="text_clean_deep", prefix="vader_"):
+def score(df, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
     """Add compound, pos, neg, neu and the sentiment class, computed within each row.
 
-    `lexicon` maps token → valence. Membership is one hash probe per token; the rule chain runs only
+    `lexicon` maps token → valence, `idioms` maps phrase → valence, `pairs` lists two-word dampeners. Membership is one hash probe per token; the rule chain runs only
     on lexicon hits.
     """
     listed = lambda w: F.coalesce(X.in_words(w, lexicon), F.lit(False))
@@ -96,6 +107,8 @@ def score(df, lexicon, text="text_clean_deep", prefix="vader_"):
         v = _start(X.lookup(word, lexicon), word, listed(F.get(tokens, i + 1)), p1, p2, p3)
         for d, p in zip((1, 2, 3), near):
             v = then(v, lambda x: _shift(x, d, p, listed(p), p1, p2, p3))
+        n1, n2 = F.get(tokens, i + 1), F.get(tokens, i + 2)
+        v = then(v, lambda x: _phrase(x, word, listed(p3), p1, p2, p3, n1, n2, idioms, pairs))
         v = then(v, lambda x: _least(x, p1, listed(p1), p2))
         counts = listed(word) & ~_is_degree(word) & ~((word == "kind") & _is(F.get(tokens, i + 1), "of"))
         return F.when(counts, v * _but_weight(i, F.col("_but"))).otherwise(0.0)
@@ -118,7 +131,7 @@ def score(df, lexicon, text="text_clean_deep", prefix="vader_"):
             .drop("_tokens", "_but", "_values", "_total", "_pos", "_neg", "_neu", "_n"))
 
 
-def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_"):
+def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
     """Same scores as (id, ...) rows, from a (token, valence) table joined to the exploded tokens.
 
     Posts are hashed by id once; the neighbour windows and the sums per post reuse that layout.
@@ -129,7 +142,7 @@ def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_"):
     near = W.partitionBy(id_col).orderBy("pos")
     whole = W.partitionBy(id_col)
     cols = {"_but": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(whole),
-            "_next": F.lead("token").over(near), "_next_v": F.lead("valence").over(near)}
+            "_next": F.lead("token").over(near), "_next2": F.lead("token", 2).over(near), "_next_v": F.lead("valence").over(near)}
     for d in (1, 2, 3):
         cols[f"_p{d}"] = F.lag("token", d).over(near)
         cols[f"_v{d}"] = F.lag("valence", d).over(near)
@@ -138,6 +151,8 @@ def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_"):
     tokens = tokens.withColumn("_v", _start(F.col("valence"), F.col("token"), F.col("_next_v").isNotNull(), p1, p2, p3))
     for d, p in zip((1, 2, 3), (p1, p2, p3)):
         tokens = tokens.withColumn("_v", _shift(F.col("_v"), d, p, F.col(f"_v{d}").isNotNull(), p1, p2, p3))
+    tokens = tokens.withColumn("_v", _phrase(F.col("_v"), F.col("token"), F.col("_v3").isNotNull(), p1, p2, p3, F.col("_next"), F.col("_next2"),
+                                             idioms, pairs))
     counts = (F.col("valence").isNotNull() & ~_is_degree(F.col("token"))
               & ~((F.col("token") == "kind") & _is(F.col("_next"), "of")))
     tokens = tokens.withColumn("_v", F.when(counts, _least(F.col("_v"), p1, F.col("_v1").isNotNull(), p2)

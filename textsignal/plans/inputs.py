@@ -29,6 +29,7 @@ MOODS = [
     "never so good without doubt worthless ", "the least happy at least hopeful no good ",
     "hardly pathetic dont hate it ", "neither great nor no or love really really terrible ",
     "kind of sad but not disgusting at all ", "",
+    "well he was kind of sad and just enough great or sort of x stupid ", "it is yeah right good the bomb is great and a broken heart hate to die for love x ",
 ]
 TIMES = ["for the past 3 years i felt it ", "3 years ago ", "since may 2020 ", "for 2 months of this ", "since 20201 ",
          "10 days before ", ""]

@@ -160,12 +160,16 @@ def _sql_step(d, prev, emphatic="false", sure="false"):
             f"* CASE WHEN {emphatic} THEN {vocab.EMPHATIC_NEVER}::DOUBLE WHEN {sure} THEN 1::DOUBLE WHEN {_neg(w)} THEN {_N}::DOUBLE ELSE 1::DOUBLE END END")
 
 
+PHRASES = ["token || ' ' || nt || ' ' || nt2", "token || ' ' || nt", "p1 || ' ' || token", "p2 || ' ' || p1 || ' ' || token",
+           "p2 || ' ' || p1", "p3 || ' ' || p2 || ' ' || p1", "p3 || ' ' || p2"]
+_idiom = lambda p: f"CASE {p} " + " ".join(f"WHEN {S.lit(k)} THEN {v}::DOUBLE" for k, v in vocab.IDIOMS.items()) + " END"
+_pair = lambda p: f"coalesce({p} IN {S.in_list(vocab.DAMPENER_PAIRS)}, false)"
 SENTIMENT_SQL = f"""
 t AS (SELECT doc_id, {S.tokens(S.deep(I.SQL_MOODY))} AS tk FROM documents),
 e AS (SELECT doc_id, unnest(range(len(tk))) AS pos, unnest(tk) AS token FROM t),
 j AS (SELECT e.doc_id, e.pos, e.token, l.v FROM e LEFT JOIN {S.values(list(I.LEXICON.items()))} l(token, v) ON l.token = e.token),
 w AS (SELECT *, min(CASE WHEN token = 'but' THEN pos END) OVER (PARTITION BY doc_id) AS b,
-  lead(token) OVER n AS nt, lead(v) OVER n AS nv, lag(token, 1) OVER n AS p1, lag(token, 2) OVER n AS p2, lag(token, 3) OVER n AS p3,
+  lead(token) OVER n AS nt, lead(token, 2) OVER n AS nt2, lead(v) OVER n AS nv, lag(token, 1) OVER n AS p1, lag(token, 2) OVER n AS p2, lag(token, 3) OVER n AS p3,
   lag(v, 1) OVER n AS x1, lag(v, 2) OVER n AS x2, lag(v, 3) OVER n AS x3 FROM j WINDOW n AS (PARTITION BY doc_id ORDER BY pos)),
 s0 AS (SELECT *, CASE WHEN {_eq('p1', 'no')} OR {_eq('p2', 'no')} OR ({_eq('p3', 'no')} AND {_eq('p1', 'or', 'nor')}) THEN v * {_N}::DOUBLE
   WHEN token = 'no' AND nv IS NOT NULL THEN 0::DOUBLE ELSE v END AS v0 FROM w),
@@ -174,11 +178,14 @@ s2 AS (SELECT *, {_sql_step(2, 'v1', _eq('p2', 'never') + ' AND ' + _eq('p1', 's
                             _eq('p2', 'without') + ' AND ' + _eq('p1', 'doubt'))} AS v2 FROM s1),
 s3 AS (SELECT *, {_sql_step(3, 'v2', '(' + _eq('p3', 'never') + ' AND ' + _eq('p2', 'so', 'this') + ') OR ' + _eq('p1', 'so', 'this'),
                             _eq('p3', 'without') + ' AND (' + _eq('p2', 'doubt') + ' OR ' + _eq('p1', 'doubt') + ')')} AS v3 FROM s2),
+s3i AS (SELECT * EXCLUDE (v3), CASE WHEN p3 IS NULL OR x3 IS NOT NULL THEN v3 ELSE coalesce({", ".join(map(_idiom, PHRASES))}, v3)
+    - CASE WHEN {_pair("p3 || ' ' || p2")} THEN {_B}::DOUBLE ELSE 0::DOUBLE END
+    - CASE WHEN {_pair("p2 || ' ' || p1")} THEN {_B}::DOUBLE ELSE 0::DOUBLE END END AS v3 FROM s3),
 s4 AS (SELECT doc_id, token, CASE WHEN v IS NOT NULL AND token NOT IN {S.in_list(vocab.BOOSTERS + vocab.DAMPENERS)}
     AND NOT (token = 'kind' AND {_eq('nt', 'of')})
   THEN v3 * CASE WHEN {_eq('p1', 'least')} AND x1 IS NULL AND NOT {_eq('p2', 'at', 'very')} THEN {_N}::DOUBLE ELSE 1::DOUBLE END
     * CASE WHEN b IS NULL OR pos = b THEN 1::DOUBLE WHEN pos < b THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END
-  ELSE 0::DOUBLE END AS f FROM s3),
+  ELSE 0::DOUBLE END AS f FROM s3i),
 a AS (SELECT doc_id, sum(f) AS s, coalesce(sum(f + 1) FILTER (f > 0), 0) AS p, coalesce(-sum(f - 1) FILTER (f < 0), 0) AS g,
   count(*) FILTER (f = 0) AS z FROM s4 GROUP BY doc_id),
 scored AS (SELECT d.doc_id, coalesce(round(s / sqrt(s * s + 15), 4), 0) AS vader_compound, coalesce(round(p / (p + g + z), 3), 0) AS vader_pos,

@@ -89,6 +89,10 @@ without wont wouldnt rarely seldom despite
 """.split()
 
 # Sentiment weights.
+# Two-word dampeners, and idioms with the valence that replaces that of their lexicon word.
+DAMPENER_PAIRS = ["just enough", "kind of", "sort of"]
+IDIOMS = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+          "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9}
 BOOST = 0.293
 NEGATION_FACTOR = -0.74
 DISTANCE_DAMPING = {1: 1.0, 2: 0.95, 3: 0.9}
