@@ -34,11 +34,12 @@ def _longest_first(candidates):
 
 
 def with_phrases(df, phrases=None, text="text_clean_deep", max_chars=None, name="entities"):
-    """Add the phrases found in a text, as whole tokens, in text order.
+    """Add the phrases found in a text, as whole tokens in any case, in text order and as they are written there.
 
     Only positions whose first word opens some phrase are looked at further.
     """
     phrases = vocab.gazetteer() if phrases is None else phrases
+    phrases = {p.lower(): label for p, label in phrases.items()}
     if not phrases:
         return df.withColumn(name, F.array().cast(ENTITY))
     by_length = {}
@@ -52,19 +53,20 @@ def with_phrases(df, phrases=None, text="text_clean_deep", max_chars=None, name=
         found = []
         for n, listed in sorted(by_length.items()):
             phrase = F.array_join(F.slice(tokens, i + 1, n), " ")
-            hit = (i + n <= F.size(tokens)) & X.in_words(phrase, listed)
+            folded = F.lower(phrase)
+            hit = (i + n <= F.size(tokens)) & X.in_words(folded, listed)
             found.append(F.when(hit, F.struct(i.alias("start"), F.lit(n).alias("n_words"), phrase.alias("phrase"),
-                                              X.lookup(phrase, phrases).alias("label"))))
+                                              X.lookup(folded, phrases).alias("label"))))
         return F.array_compact(F.array(*found))
 
-    starts = F.filter(F.transform("_tokens", lambda t, i: F.when(X.in_words(t, openers), i)), lambda i: i.isNotNull())
+    starts = F.filter(F.transform("_tokens", lambda t, i: F.when(X.in_words(F.lower(t), openers), i)), lambda i: i.isNotNull())
     df = bind(bind(df, _tokens=X.tokenize(body, "whitespace")), _found=F.flatten(F.transform(starts, at)))
     chosen = F.when(F.size("_found") == 0, F.array().cast(ENTITY)).otherwise(_longest_first(F.col("_found")))
     return bind(df, **{name: chosen}).drop("_tokens", "_found")
 
 
 def phrases_by_join(df, id_col, gazetteer, max_words, text="text_clean_deep", max_chars=None):
-    """(id, start, n_words, phrase, label) rows from a (phrase, label, n_words) table.
+    """(id, start, n_words, phrase, label) rows from a (phrase, label, n_words) table, in any case, phrases as written.
 
     The n-grams of a text meet the table in one equi-join; only hits are regrouped per post.
     """
@@ -76,7 +78,8 @@ def phrases_by_join(df, id_col, gazetteer, max_words, text="text_clean_deep", ma
 
     every = F.flatten(F.array(*[placed(n) for n in range(1, max_words + 1)]))
     grams = tokens.select(id_col, F.inline(every))
-    hits = grams.join(gazetteer.select("phrase", "label"), "phrase")
+    listed = gazetteer.select(F.lower("phrase").alias("_folded"), "label")
+    hits = grams.withColumn("_folded", F.lower("phrase")).join(listed, "_folded")
     per_post = hits.groupBy(id_col).agg(
         F.collect_list(F.struct("start", "n_words", "phrase", "label")).alias("found"))
     return (per_post.select(id_col, F.explode(_longest_first(F.col("found").cast(ENTITY))).alias("e"))

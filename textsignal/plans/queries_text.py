@@ -270,6 +270,13 @@ def phrase_entities_by_join(spark, d):
     return longs(E.phrases_by_join(_clinical(spark, d), "doc_id", g, 3))
 
 
+@query(f"WITH {ENTITY_ALL} SELECT doc_id, start, n_words, upper(phrase) AS phrase, label FROM entities")
+def phrase_entities_mixed_case(spark, d):
+    """Upper-case text: the same phrases, as they are written."""
+    shouted = _clinical(spark, d).withColumn("text_clean_deep", F.upper("text_clean_deep"))
+    return _entity_rows(E.with_phrases(shouted))
+
+
 @query(f"WITH {ENTITY_ALL} SELECT phrase, n_words, count(*) AS n FROM entities WHERE phrase LIKE '%anxiety%' OR phrase LIKE '%bipolar%' GROUP BY ALL")
 def nested_phrase_resolution(spark, d):
     found = _entity_rows(E.with_phrases(_clinical(spark, d)))
