@@ -18,8 +18,8 @@ LEXICON = {
     "stupid": -2.4, "idiot": -2.3, "no": -1.2, "license": 0.7, "is": 0.2, "was": -0.3,
 }
 LEMMAS = {"feeling": "feel", "feels": "feel", "mentioned": "mention", "idiots": "idiot", "was": "be", "licenses": "license",
-          "reserved": "reserve", "rights": "right", "exhausting": "exhaust", "things": "thing"}
-TAGS = {"i": "PRP", "feel": "VBP", "exhausted": "JJ", "worthless": "JJ", "every": "DT", "morning": "NN", "stupid": "JJ",
+          "reserved": "reserve", "rights": "right", "waiting": "wait", "things": "thing"}
+TAGS = {"we": "PRP", "think": "VBP", "tired": "JJ", "worthless": "JJ", "each": "DT", "evening": "NN", "stupid": "JJ",
         "pathetic": "JJ", "idiot": "NN", "disgusting": "JJ", "license": "NN", "copyright": "NN", "reserved": "VBN"}
 NAMES = {"the license": "MISC", "license": "MISC", "copyright": "ORG", "berlin": "LOC", "new york": "LOC",
          "new york times": "ORG", "doctor smith": "PER", "smith": "PER"}
