@@ -142,11 +142,11 @@ def test_ivf_probing(spark, vectors):
 
 def test_rouge_literal(spark):
     df = spark.createDataFrame([(1, "the the the cat lay on a mat", "the cat sat on the mat"), (2, "same words here", "same words here"),
-                                (3, "", "x")], "id long, generated string, reference string")
+                                (3, "", "x"), (4, None, "x")], "id long, generated string, reference string")
     out = {r["id"]: r for r in R.rouge(df, "id", stem=False).collect()}
     assert [out[1][c] for c in ("rouge1", "rouge2", "rougeL")] == pytest.approx([.714286, .166667, .571429], abs=1e-6)
     assert [out[2][c] for c in ("rouge1", "rouge2", "rougeL")] == [1, 1, 1]
-    assert [out[3][c] for c in ("rouge1", "rouge2", "rougeL")] == [0, 0, 0]
+    assert [out[i][c] for i in (3, 4) for c in ("rouge1", "rouge2", "rougeL")] == [0] * 6
 
 
 def test_subsequence_against_table_method():

@@ -349,7 +349,15 @@ def rouge2(spark, d):
     return _rounded(R.rouge_n(t, "pair_id", 2), "rouge2")
 
 
-@query()
+# One row of the table of common subsequences per step.
+LCS = """l(pair_id, i, gen, ref, above) AS (SELECT pair_id, 0::BIGINT, gen, ref, list_transform(range(len(ref) + 1), lambda j: 0::BIGINT) FROM pairs
+  UNION ALL SELECT pair_id, i + 1, gen, ref, list_reduce(range(1, len(ref) + 1), lambda row, j: list_append(row, CASE
+    WHEN gen[i + 1] = ref[j] THEN above[j] + 1 ELSE greatest(above[j + 1], row[j]) END), [0::BIGINT]) FROM l WHERE i < len(gen)),
+lo AS (SELECT pair_id, above[-1] AS o, len(gen) AS a, len(ref) AS b FROM l WHERE i = len(gen)),
+rl AS (SELECT pair_id, round(CASE WHEN o > 0 THEN 2 * (o / a) * (o / b) / (o / a + o / b) ELSE 0 END, 6) AS "rougeL" FROM lo)"""
+
+
+@query(f'WITH RECURSIVE {PAIRS}, {LCS} SELECT pair_id, "rougeL" FROM rl')
 def rougeL(spark, d):
     t = R.tokenized_pairs(_pairs(spark, d), "pair_id")
     return _rounded(R.rouge_l(t, "pair_id"), "rougeL")
@@ -360,6 +368,21 @@ def rouge_stemmed(spark, d):
     return _rounded(R.rouge(_pairs(spark, d), "pair_id"), "rouge1", "rouge2", "rougeL")
 
 
+@query(f"""WITH RECURSIVE {PAIRS}, {LCS}, r1 AS (SELECT * FROM (WITH {_rouge_sql('gen', 'ref', 'rouge1')})),
+r2 AS (SELECT * FROM (WITH {_rouge_sql(S.bigrams('gen'), S.bigrams('ref'), 'rouge2')}))
+SELECT pair_id, rouge1, rouge2, "rougeL" FROM r1 JOIN r2 USING (pair_id) JOIN rl USING (pair_id)""")
+def rouge_plain(spark, d):
+    return _rounded(R.rouge(_pairs(spark, d), "pair_id", stem=False), "rouge1", "rouge2", "rougeL")
+
+
+@query(f"""WITH RECURSIVE {PAIRS}, {LCS}, r1 AS (SELECT * FROM (WITH {_rouge_sql('gen', 'ref', 'rouge1')})),
+r2 AS (SELECT * FROM (WITH {_rouge_sql(S.bigrams('gen'), S.bigrams('ref'), 'rouge2')}))
+SELECT 'rouge1' AS metric, round(avg(rouge1), 4) AS value FROM r1 UNION ALL SELECT 'rouge2', round(avg(rouge2), 4) FROM r2
+UNION ALL SELECT 'rougeL', round(avg("rougeL"), 4) FROM rl""")
+def rouge_mean_plain(spark, d):
+    return R.mean_scores(_rounded(R.rouge(_pairs(spark, d), "pair_id", stem=False), "rouge1", "rouge2", "rougeL"))
+
+
 @query()
 def rouge_mean(spark, d):
     table_ = SU.summarize_clusters(docs(spark, d), "source", "doc_id")
