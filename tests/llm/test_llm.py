@@ -212,6 +212,13 @@ def test_quality_of_odd_rows(spark, odd):
     assert all(0 <= r._s <= 1 for r in quality.score(odd, quality.fit(odd, some), name="_s").collect())
 
 
+def test_quality_sample_counts_an_id_once(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a")] * 50 + [(2, "c"), (3, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    sample, totals = quality.labelled_sample(docs, labels)
+    assert sample[["doc_id", "quality", "text"]].values.tolist() == [[1, 1, "a"], [2, 0, "c"]] and totals == {0: 2, 1: 2}
+
+
 # 6: repeated windows
 
 def plain_cut(documents, window=200):

@@ -23,12 +23,13 @@ def labelled_sample(docs, labels, rows=FIT_ROWS):
     """Up to `rows` labelled texts of each class, in hash order of their ids, as a pandas frame (text, quality), and the class counts.
 
     Only a bounded number of ids is broadcast. Labels that are null or not 0 or 1, ids without a text, and texts over FIT_BYTES give no row.
+    Of several texts with one id the smallest counts, so the sample stays bounded.
     """
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)")
     totals = {r[0]: r[1] for r in labels.groupBy("quality").count().collect()}
     picked = [labels.filter(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
     texts = docs.select("doc_id", "text").filter(F.length("text") > 0).filter(F.octet_length("text") <= FIT_BYTES)
-    found = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "quality")
+    found = texts.join(F.broadcast(picked[0].union(picked[1]).distinct()), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     return found.toPandas().sort_values(["doc_id", "quality", "text"]), totals
 
 
