@@ -2,6 +2,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter
@@ -305,6 +306,11 @@ def test_secret_structures():
     assert "ssh" in kinds(base64.b64encode(ssh).decode())
     broken = base64.b64encode(key[:-5]).decode()
     assert kinds(f"x {broken} y") == set() == kinds("A" * 400)
+    rnd = random.Random(8)
+    for _ in range(5000):
+        text = "".join(rnd.choice(("eyJ", "abcdefghij", "ab", ".", ".", " ", "-", "J")) for _ in range(12))
+        assert list(secrets.tokens(text)) == [m.span() for m in secrets.TOKEN.finditer(text)]
+    assert list(secrets.tokens("eyJ" * 500_000)) == []  # linear time
 
 
 # 9: fingerprints

@@ -20,6 +20,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_MIN = 6
 BASE = ("assign", "access", "hex")
 
+# A token's first part starts at the first eyJ of a run that has room for it; runs are tried once each, so long ones cost linear time.
+HEADER_RUN = re.compile(r"[A-Za-z0-9_-]{13,}")
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]{0,40}KEY-----")
@@ -109,6 +111,17 @@ def is_token(text):
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def tokens(text):
+    """(start, end) of what looks like a signed token, leftmost first and without overlaps."""
+    at = text.find("eyJ")
+    while at >= 0:
+        run = HEADER_RUN.match(text, at)
+        found = run and TOKEN.match(text, at)
+        if found:
+            yield found.span()
+        at = text.find("eyJ", found.end() if found else run.end() if run else at + 3)
+
+
 def find(text):
     """(start, kind, end) of every span, by start and then by kind as listed in KINDS. Null text has none."""
     text = text or ""
@@ -121,7 +134,7 @@ def find(text):
         kind = data is not None and structure(data)
         if kind or "PRIVATE" in m[1] and data:
             more.add((m.start(), KINDS.index(kind or "key"), m.end()))
-    more.update((m.start(), KINDS.index("token"), m.end()) for m in TOKEN.finditer(text) if is_token(m[0]))
+    more.update((s, KINDS.index("token"), e) for s, e in tokens(text) if is_token(text[s:e]))
     for m in ENCODED.finditer(text):
         kind = (data := decode64(m[0])) and structure(data)
         if kind:
