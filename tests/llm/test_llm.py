@@ -187,6 +187,51 @@ def test_fingerprints_within_radius_are_all_candidates():
     assert found == {(w, i) for w, x in enumerate(flipped) for i, p in enumerate(prints) if (x ^ int(p)).bit_count() <= decontaminate.RADIUS}
 
 
+def plain_leaks(items, text):
+    """For each item the best place of its length, over all places."""
+    def weighted(words):
+        k = max(1, min(5, len(words)))
+        out = Counter()
+        for j in range(len(words) - k + 1):
+            out[tuple(words[j:j + k])] += sum(len(w) for w in words[j:j + k])
+        return out
+    words, out = norm(text).split(), {}
+    for i, item in items.items():
+        one, n = weighted(item.split()), len(item.split())
+        for b in range(len(words)):
+            two = weighted(words[b:b + n])
+            both = sum((one & two).values())
+            value = round(both / (sum(one.values()) + sum(two.values()) - both), 6)
+            if value >= 0.8:
+                out[i] = max(out.get(i, (0,)), (value, -b, min(b + n, len(words))))
+    return out
+
+
+def test_leaks_of_edited_passages_as_brute_force():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.choice((1, 2, 3, 5, 9))))
+    found = edited = 0
+    for n in (*range(1, 8), *range(15, 60)):
+        item = [word() for _ in range(n)]
+        items = {1: " ".join(item), 2: " ".join(word() for _ in range(n)), 3: " ".join(item[:3] * (n // 3 + 1))}
+        texts = []
+        for at in (0, n // 2, n - 1):
+            change, insert, drop = item[:], item[:], item[:]
+            change[at] = word()
+            insert.insert(at, word())
+            del drop[at]
+            filler = lambda: [word() for _ in range(rng.choice((0, 4)))]
+            texts += [" ".join(filler() + x + filler()) for x in (change, insert, drop, item[at:] + item[:at])]
+        texts += [" ".join(item[:3] * 25), ""]
+        got = decontaminate._leaks(decontaminate.Items(list(items), list(items.values())), texts)
+        for text, leaks in zip(texts, got):
+            want = plain_leaks(items, text)
+            assert {x["item_id"]: (x["similarity"], -x["first_word"], x["end_word"]) for x in leaks} == want
+            found += 1 in want
+            edited += 1 in want and want[1][0] < 1
+    assert found > 200 and edited > 150
+
+
 def test_leaks_of_odd_rows(spark, odd, monkeypatch):
     bench = spark.createDataFrame([(1, "One, two three four five!"), (2, None), (None, "word"), (3, "word"), (4, ""), (5, "one two three four five")], "item_id long, text string")
     for block in (20_000, 2):

@@ -5,6 +5,10 @@ of that size in it. Every window of that size in every document is fingerprinted
 RADIUS + 1 blocks: two that differ in at most RADIUS bits agree on one block, so looking each block up finds all of
 them. A candidate's words are then laid over the item's, and shared five-word shingles, weighted by their letters,
 give the similarity.
+
+An edited word flips more than RADIUS bits of most windows that hold it, so five-word windows are looked up as well:
+the rarest of an item's that together weigh more than 1 - SIMILARITY of it. A text that is similar enough holds one
+of them unchanged, wherever the edits are, and all places around it are weighed.
 """
 from collections import Counter
 
@@ -17,6 +21,10 @@ from textsignal.llm.common import RangeHash, byte_codes, popcount, ragged, slice
 RADIUS = 3
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+# Similarities are rounded to six digits, so bounds on them have this to spare.
+SLACK = 1e-6
+# Bits of the table that is asked first whether a five-word window can be a seed.
+SEEN_BITS = 20
 # Items held by a task at a time; a larger benchmark takes several passes over the row.
 ITEM_BLOCK = 20_000
 SLICE_BYTES = 128 << 10
@@ -58,6 +66,11 @@ class Words:
         room = np.maximum(np.diff(self.first) - width + 1, 0)
         return ragged(self.first[:-1], room), np.repeat(np.arange(len(room)), room)
 
+    def weights(self):
+        """Letters of the five-word window from every word on."""
+        sums = np.concatenate([[0], np.cumsum(self.size)])
+        return sums[SHINGLE_WORDS:] - sums[:-SHINGLE_WORDS]
+
 
 def shingles(hashes, sizes):
     """Weighted multiset of five-word shingles as a dict; shorter sequences are one shingle."""
@@ -89,6 +102,34 @@ class Items:
                 seen[b, parts[:, b]] = True
             order = [np.argsort(parts[:, b], kind="stable") for b in range(RADIUS + 1)]
             self.index[width] = (prints, item, start - self.words.first[item], parts, seen, order)
+        self._seed()
+
+    def _seed(self):
+        """Seeds: of each item's five-word windows the rarest, until what is left weighs too little for SIMILARITY."""
+        start, item = self.words.starts(SHINGLE_WORDS)
+        self.short = self.words.prints(SHINGLE_WORDS)
+        prints, weight = self.short[start], self.words.weights()[start]
+        self.weight = np.bincount(item, weight, len(self.ids))
+        _, which, often = np.unique(prints, return_inverse=True, return_counts=True)
+        order = np.lexsort((prints, often[which], item))
+        prints, weight, item = prints[order], weight[order], item[order]
+        before = np.cumsum(weight) - weight
+        before -= before[np.searchsorted(item, item)]
+        chosen = before <= (1 - SIMILARITY + 10 * SLACK) * self.weight[item]
+        prints, item = prints[chosen], item[chosen]
+        order = np.lexsort((item, prints))
+        prints, item = prints[order], item[order]
+        new = np.ones(len(prints), bool)
+        new[1:] = (prints[1:] != prints[:-1]) | (item[1:] != item[:-1])
+        self.seeds, self.seed_item = prints[new], item[new]
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.seen[self.seeds & np.uint64((1 << SEEN_BITS) - 1)] = True
+
+    def seeded(self, prints):
+        """(window, item) of the five-word windows that are a seed of an item."""
+        hit = np.flatnonzero(self.seen[prints & np.uint64((1 << SEEN_BITS) - 1)])
+        low, high = np.searchsorted(self.seeds, prints[hit], "left"), np.searchsorted(self.seeds, prints[hit], "right")
+        return np.repeat(hit, high - low), self.seed_item[ragged(low, high - low)]
 
     def candidates(self, prints, width):
         """(window, item, offset of the window in the item) within RADIUS bits."""
@@ -114,6 +155,39 @@ class Items:
         return both / (sum(one.values()) + sum(two.values()) - both)
 
 
+def _seeded_runs(items, words):
+    """(item, text, first begin, last begin): all begins at which a place as long as the item holds one of its seeds."""
+    start, text = words.starts(SHINGLE_WORDS)
+    if not len(start):
+        return
+    short = words.prints(SHINGLE_WORDS)
+    window, item = items.seeded(short[start])
+    at, text = start[window], text[window]
+    reach = np.diff(items.words.first)[item] - SHINGLE_WORDS
+    order = np.lexsort((at, text, item))
+    at, text, item, reach = at[order], text[order], item[order], reach[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (at[1:] - at[:-1] > reach[1:] + 1)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(at))
+    first = np.maximum(at - reach, words.first[text])
+    for a, b in zip(begin.tolist(), end.tolist()):
+        yield int(item[a]), int(text[a]), int(first[a]), int(at[b - 1])
+
+
+def _bounds(items, words, short, sums, i, first, last, high):
+    """No place as long as item i that begins at first to last is more similar to it than this."""
+    length = items.words.first[i + 1] - items.words.first[i]
+    stop = min(last + length, high) - SHINGLE_WORDS + 1
+    a, b = items.words.first[i:i + 2]
+    shared = np.isin(short[first:stop], items.short[a:b - SHINGLE_WORDS + 1]) * (sums[first + 1:stop + 1] - sums[first:stop])
+    shared = np.concatenate([[0], np.cumsum(shared)])
+    begin = np.arange(first, last + 1)
+    end = np.minimum(begin + length, high) - SHINGLE_WORDS + 1
+    both = np.minimum(shared[end - first] - shared[begin - first], items.weight[i])
+    return both / (items.weight[i] + sums[end] - sums[begin] - both)
+
+
 def _leaks(items, texts):
     """For each text, {item id: (similarity, first word, end word)} of the best place of each item found in it."""
     words = Words(texts)
@@ -136,6 +210,24 @@ def _leaks(items, texts):
             if value >= SIMILARITY:
                 place = (value, -int(begin - low), int(end - low))
                 best[t][items.ids[i]] = max(best[t].get(items.ids[i], place), place)
+    short, sums = words.prints(SHINGLE_WORDS), np.concatenate([[0], np.cumsum(words.weights())])
+    for i, t, first, last in _seeded_runs(items, words):
+        low, high = words.first[t], words.first[t + 1]
+        length = int(items.words.first[i + 1] - items.words.first[i])
+        bound = _bounds(items, words, short, sums, i, first, last, high)
+        for at in np.argsort(-bound, kind="stable").tolist():
+            begin, end = first + at, min(first + at + length, int(high))
+            value, back, _ = best[t].get(items.ids[i], (SIMILARITY, -len(words.hash), 0))
+            top = round(float(bound[at]), 6)
+            if top < value:
+                break
+            if (i, begin) in tried or top == value and low - begin < back:
+                continue
+            tried.add((i, begin))
+            value = round(items.similarity(i, words.hash[begin:end], words.size[begin:end]), 6)
+            if value >= SIMILARITY:
+                place = (value, -int(begin - low), int(end - low))
+                best[t][items.ids[i]] = max(best[t].get(items.ids[i], place), place)
     return [[{"item_id": k, "similarity": v, "first_word": -b, "end_word": e} for k, (v, b, e) in sorted(found.items())] for found in best]
 
 
