@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textsignal.operators import features as FE, metrics as M, rouge as R, search as SE, splits as SP, summarize as SU, topics as T
+from textsignal.plans import queries_search as QS
 
 
 def test_tfidf_literal(spark):
@@ -130,6 +131,11 @@ def test_query_blocks_equal_one_pass(spark, vectors, monkeypatch):
     assert sorted(map(tuple, SE.dense_top_k(q, df, 5).collect())) == whole
 
 
+def test_ivf_default_finds_nine_in_ten(spark):
+    for sf in ("sf0.01", "sf0.1"):
+        assert QS.ivf_recall(spark, f"/root/testdata/{sf}").first().recall >= 0.9
+
+
 def test_ivf_probing(spark, vectors):
     m, df = vectors
     q = queries_of(spark, m, range(0, 400, 40))

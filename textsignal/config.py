@@ -17,6 +17,8 @@ W2V_EPOCHS = 10
 TOP_K = 10
 OVERFETCH = 3
 IVF_CELLS = 100
+# Of the 10 nearest of every 20th vector of sf0.1, 40 cells hold 0.93, 36 hold 0.89, 8 hold 0.47.
+IVF_PROBES = 40
 BM25_K1 = 1.5
 BM25_B = 0.75
 BM25_EPSILON = 0.25

@@ -198,7 +198,7 @@ def assign_cells(vectors, cells=config.IVF_CELLS, seed=config.SEED, max_iter=20)
     return model.transform(data).drop("_v"), np.array(model.clusterCenters())
 
 
-def ivf_top_k(queries, cell_vectors, centres, k=config.TOP_K, nprobe=8):
+def ivf_top_k(queries, cell_vectors, centres, k=config.TOP_K, nprobe=config.IVF_PROBES):
     """Approximate top-k: each query meets only the vectors of its `nprobe` nearest cells.
 
     On a table partitioned by cell the filter below prunes partitions.
