@@ -124,6 +124,12 @@ def test_own_encoder(spark, corpus):
     assert out.count() == 200 and sum(x * x for x in out.head()["embedding"]) == pytest.approx(1)
 
 
+def test_lda_keeps_the_whole_dictionary(spark):
+    df = spark.range(6).select(F.transform(F.sequence(F.lit(1), F.lit(100_500)), lambda i: i.cast("string")).alias("tokens"))
+    fit = lambda **more: T.fit_lda(df, topics=2, passes=1, max_df=6, sampling=1.0, **more)[0].vocabulary
+    assert len(fit()) == 100_500 and len(fit(keep=7)) == 7
+
+
 def test_lda_reports_k_topics(spark, corpus):
     counter, lda = T.fit_lda(corpus.select(F.split("text", " ").alias("tokens")), topics=3, passes=4)
     terms = T.topic_terms(counter, lda, 5)
