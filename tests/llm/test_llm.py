@@ -306,6 +306,24 @@ def test_licences():
     assert names("We asked permission to license the public domain.") == [] == licenses.find(None) == licenses.find("")
 
 
+def test_wrapped_and_commented_licences():
+    as_is = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."
+    for text, licence, rule in (
+            ("This is free and unencumbered software released into the public domain.", "Unlicense", "unlicense"),
+            ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + as_is, "ISC", "isc_grant+as_is"),
+            ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software. The above copyright notice and this permission notice "
+             "shall be included in all copies. " + as_is, "MIT", "mit_grant+mit_notice+as_is"),
+            ("You can redistribute it and/or modify it under the terms of the GNU General Public License as published, either version 2 of the License, or (at your option) "
+             "any later version. It is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY.", "GPL-2.0-or-later", "gpl_may+gpl_hope"),
+            ("Redistribution and use in source and binary forms, with or without modification, are permitted. Redistributions of source code must retain the above copyright "
+             "notice. Redistributions in binary form must reproduce the above copyright notice. Neither the name of X nor others may be used to endorse or promote products.",
+             "BSD-3-Clause", "bsd_grant+bsd_source+bsd_binary+bsd_endorse"),
+            ("Released under CC BY 4.0.", "CC-BY-4.0", "cc_name"), ("Available under Creative Commons BY-SA 3.0.", "CC-BY-SA-3.0", "cc_name")):
+        for gap in (" ", "  ", "\n", "\n# ", "\r\n * ", "\n// "):
+            wrapped = text.replace(" ", gap)
+            assert licenses.find(wrapped) == [(licence, rule, 0, len(wrapped) - 1)], (text, gap)
+
+
 def test_licence_query_finds_every_line(spark, texts):
     lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
              "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only"}

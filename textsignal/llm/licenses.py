@@ -47,8 +47,9 @@ RULES = (
     ("{spdx}", ("spdx",)), ("Apache-2.0", ("apache_name",)), ("{gpl}-only", ("gpl_name",)), ("MIT", ("mit_name",)), ("BSD-{digit}-Clause", ("bsd_name",)),
     ("ISC", ("isc_name",)), ("MPL-2.0", ("mpl_name",)), ("CC-{cc}", ("cc_name",)), ("CC0-1.0", ("cc0_name",)),
 )
-# Every sentence pattern holds one of these words, so other texts need no sentences.
-HINT = re.compile(r"licen[sc]e|permission|redistribut|the software is|the name of|public domain|cc0|hope that", re.I)
+# Every sentence pattern holds one of these, so other texts need no sentences. They are single words, since line breaks and
+# comment marks may stand between two.
+HINT = re.compile(r"licen[sc]e|permission|redistribut|software|endorse|creative|hope|cc0|(?<![a-z0-9])cc(?![a-z0-9])", re.I)
 SENTENCE = re.compile(r"(?:[^.!?\n]|[.!?](?!\s|\Z)|\n(?!\s*\n))+")
 WORD = re.compile(r"[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?")
 
