@@ -147,6 +147,18 @@ def test_pages_noise_and_structure():
     assert [pages.extract(x) for x in (None, "", "x &lt; y", "<p>a<p")] == ["", "", "x < y", "a<p"]
 
 
+def test_pages_names_do_not_condemn_the_page():
+    story = "<p>A long story of the day.</p><p>And its end.</p>"
+    want = "A long story of the day.\nAnd its end."
+    for page in ("<body class='single no-sidebar'>{}</body>", "<body class='search menu'>{}</body>", "<div class='content with-sidebar'>{}</div>",
+                 "<article class='post no-comments'>{}</article>", "<article class='post comments-open'>{}</article>", "<form action='/'><div>{}</div></form>",
+                 "<div id='search-result'>{}</div>", "<main class='no-header'>{}</main>", "<div class='comments'>{}<div class='comment'>Reply</div></div>",
+                 "<form>{}<nav>Menu</nav><form>Ask</form></form>", "<p><svg class='i'/></p>{}", "<p><math/><object data='x' /></p>{}", "<svg><text>No</text></svg>{}"):
+        for inside in (page, "<html><body>" + page + "<div class='ad'>Buy</div></body></html>"):
+            assert pages.extract(inside.format(story)) == want, inside
+    assert pages.extract(f"<article class='comment'><p>Reply</p></article><div>{story}</div>") == want
+
+
 def test_pages_style_tree_drops_what_all_pages_share(spark):
     html = "<html><body><div class='x1'><span>Same words everywhere</span></div><div class='x2'><p>Own text {0} of the page</p></div></body></html>"
     table = [(i, "http://a.example.com/p", html.format(i)) for i in range(8)] + [(8, None, html.format(8)), (9, "http://[bad", None), (10, "http://a.example.com/q", html.format(0))]

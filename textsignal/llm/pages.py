@@ -25,6 +25,7 @@ MAX_DEPTH = 40
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?:svg|math|object)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
     r"|<(script|style|noscript|template|textarea|select|svg|iframe|object|math|title)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/>]|$)""", re.I)
@@ -39,6 +40,8 @@ NOISE_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor s
                   "breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription share "
                   "sharing social related recommended comment comments reply replies respond disqus widget toolbar pagination pager login signup "
                   "search skip hidden contentinfo complementary".split())
+# A name after one of these tells what an element has or lacks, not what it is.
+HAVING = set("no not non without with has hide".split())
 HEADER_NAMES = set("header topbar".split())
 MAIN_TAGS = ("article", "main")
 
@@ -54,14 +57,33 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
+def _noise_names(value, whole):
+    """Noise names in a class, id or role; whole ones only, or between any signs."""
+    for name in value.split():
+        tokens = [t for t in re.split(r"[^a-z0-9]+", name) if t]
+        if not whole or len(tokens) == 1:
+            yield from (t for before, t in zip([""] + tokens, tokens) if t in NOISE_NAMES and before not in HAVING)
+
+
 def parse(source):
-    """Blocks in page order, and (path, child tags) of every element."""
-    stack = [["", "", False, False, []]]  # tag, path, noise, main, child tags
-    blocks, styles, at = [], [], 0
+    """Blocks in page order, and (path, child tags) of every element.
+
+    A name or a form does not condemn the branch with most of the page's text; what is inside is judged by its own marks.
+    """
+    blocks, styles, amount = _parse(source, frozenset())
+    most = {i for i, n in amount.items() if i and 2 * n > amount[0]}
+    return _parse(source, most)[:2] if most else (blocks, styles)
+
+
+def _parse(source, pardoned):
+    """Blocks, styles, and characters of text in all and in each element, by its number, that a name or a form condemns."""
+    stack = [["", "", False, False, [], (0,)]]  # tag, path, noise, main, child tags, elements to count for
+    blocks, styles, at, number = [], [], 0, 0
+    amount = {0: 0}
     current, opened = None, Counter()
 
     def close():
-        tag, path, _, _, children = stack.pop()
+        tag, path, _, _, children, _ = stack.pop()
         opened[tag] -= 1
         if children:
             styles.append((path, " ".join(children)))
@@ -71,8 +93,10 @@ def parse(source):
         nonlocal current
         if not text:
             return
+        for i in stack[-1][5]:
+            amount[i] += len(text.strip())
         if current is None:
-            _, path, noise, main, _ = next(e for e in reversed(stack) if e[0] in BLOCK or not e[0])
+            _, path, noise, main, *_ = next(e for e in reversed(stack) if e[0] in BLOCK or not e[0])
             current = Block(path, noise or stack[-1][2], main)
             blocks.append(current)
         if not stack[-1][2] or current.noise:
@@ -108,7 +132,7 @@ def parse(source):
                         break
         if tag in VOID:
             continue
-        names, hidden = [], False
+        names, own, hidden = [], False, False
         for name, *values in ATTRIBUTE.findall(m[4]) if m[4] else ():
             value, name = "".join(values).lower(), name.lower()
             if name in ("hidden", "aria-hidden"):
@@ -116,20 +140,31 @@ def parse(source):
             elif name == "style":
                 hidden |= "display:none" in value.replace(" ", "")
             else:
-                names += re.split(r"[^a-z0-9]+", value)
-        _, path, noise, main, children = stack[-1]
+                tokens = re.split(r"[^a-z0-9]+", value)
+                names += tokens
+                if not NOISE_NAMES.isdisjoint(tokens):
+                    own |= tag not in ("html", "body", "main") and any(_noise_names(value, tag == "article"))
+        _, path, noise, main, children, counted = stack[-1]
+        number += 1
         children.append(tag)
-        own = NOISE_NAMES.intersection(names)
-        noise = noise or hidden or tag in NOISE_TAGS or bool(own) or not main and (tag == "header" or bool(HEADER_NAMES.intersection(names)))
+        # Outer elements are not headers by a name.
+        head = tag == "header" or names and not HEADER_NAMES.isdisjoint(names) and tag not in ("html", "body", *MAIN_TAGS)
+        soft = own or tag == "form"
+        if hidden or tag in NOISE_TAGS and tag != "form" or not main and head:
+            noise, counted = True, ()
+        elif soft and counted:
+            counted = (*counted, number)
+            amount[number] = 0
+        noise = noise or soft and number not in pardoned
         main = main or not noise and (tag in MAIN_TAGS or "main" in names)
         if len(stack) <= MAX_DEPTH:
             path = f"{path}/{tag}" + "".join(f".{n}" for n in sorted(set(names)) if n and not n.isdigit())
-        stack.append([tag, path, noise, main, []])
+        stack.append([tag, path, noise, main, [], counted])
         opened[tag] += 1
     add(source[at:])
     while len(stack) > 1:
         close()
-    return blocks, styles
+    return blocks, styles, amount
 
 
 def host(url):
