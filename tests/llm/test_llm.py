@@ -118,6 +118,25 @@ def test_topk_ties_nulls_and_copies(spark, monkeypatch):
         assert got == plain_top(vectors)
 
 
+@pytest.mark.parametrize("copies", [1, 6, 50])
+def test_topk_repeated_rows(spark, monkeypatch, copies):
+    """Rows that share the query's id hide no other row, repeated candidates count each, equal queries ask once, and two vectors of one id ask together."""
+    rng = np.random.default_rng(copies)
+    vectors = [(i, [float(x) for x in rng.integers(-40, 41, 4) / 8]) for i in range(1, 393)]
+    vectors += [(0, [5.0, 5.0, 5.0, 5.0])] * copies + [(7, vectors[6][1])] * copies + [(50, [9.0, -9.0, 0.0, 1.0])]
+    exact = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in vectors]
+    want = []
+    for q in {i for i, _ in exact if i % 50 == 0}:
+        asked = {tuple(v) for i, v in exact if i == q}
+        best = sorted((-sum(a * b for a, b in zip(u, v)), i) for u in asked for i, v in exact if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    for shard, leaf, block, balls in ((4096, 64, 512, 256), (4096, 1024, 512, 256), (40, 8, 2, 3)):
+        for name, value in (("SHARD_ROWS", shard), ("LEAF_ROWS", leaf), ("QUERY_BLOCK", block), ("BALLS", balls)):
+            monkeypatch.setattr(balltree, name, value)
+        points = balltree.scaled(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
+        assert sorted(map(tuple, balltree.top_k(points, points.filter("vec_id % 50 = 0")).collect())) == sorted(want)
+
+
 def test_topk_few_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (50, [2.0])], "vec_id long, embedding array<float>")
     points = balltree.scaled(df)

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from textsignal.llm.common import written
 
-# Rows that pivots are fitted on, rows of a shard, rows of a leaf, queries that meet a shard at a time.
+# Rows that pivots are fitted on, rows of a shard, rows of a leaf, queries that meet a shard at a time, balls that
+# meet the queries at a time.
 PIVOT_ROWS = 2_000
 PIVOTS = 16
 SHARD_ROWS = 4_096
 LEAF_ROWS = 64
 QUERY_BLOCK = 512
+BALLS = 256
 SCALE = 256
 
 
@@ -60,7 +62,7 @@ class BallTree:
         return at
 
     def search(self, query, k, floor, ids, skip):
-        """The k best (score, -id) at or above `floor`, without the row whose id is `skip`."""
+        """The k best (score, -id) at or above `floor`, without the rows whose id is `skip`."""
         bounds = self.centres @ query + self.radii * np.sqrt(query @ query)
         bounds += np.abs(bounds) * 1e-9 + 1e-6
         best, waiting = [], [(-bounds[0], 0)]
@@ -74,10 +76,11 @@ class BallTree:
                     heapq.heappush(waiting, (-bounds[child], child))
                 continue
             rows = self.nodes[node][2]
+            rows = rows[ids[rows] != skip]
             scores = self.points[rows] @ query
-            order = np.lexsort((ids[rows], -scores))[:k + 1]
+            order = np.lexsort((ids[rows], -scores))[:k]
             for score, i in zip(scores[order].tolist(), ids[rows[order]].tolist()):
-                if i != skip and score >= floor:
+                if score >= floor:
                     if len(best) < k:
                         heapq.heappush(best, (score, -i))
                     elif (score, -i) > best[0]:
@@ -139,8 +142,11 @@ def top_k(points, queries, k=5):
     """(query_id, rank, vec_id, score long): the k best of all other rows for each query, ties to the smaller id.
 
     points, queries: (vec_id, v array<double>) of whole numbers as `scaled` gives them. Only rows of equal length
-    are compared. A query with fewer than k other rows gets what there is. Scores beyond 2^53 are not exact.
+    are compared. A query with fewer than k other rows gets what there is. Rows with the query's id count as the query itself.
+    Repeated rows are candidates each for itself; equal query rows ask once, and of different vectors with one id the k best
+    hits of all are returned. Empty tables give none. Scores beyond 2^53 are not exact.
     """
+    queries = written(queries.dropDuplicates(["vec_id", "v"]), "queries")
     placed = written(points.mapInArrow(_assign(_pivots(points)), "vec_id long, v array<double>, cell long"), "cells")
     sizes = written(placed.groupBy("cell").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("cuts")), "sizes")
     shards = placed.join(sizes, "cell").select("vec_id", "v", F.concat_ws("-", "cell", F.pmod(F.xxhash64("vec_id"), F.col("cuts"))).alias("shard"))
@@ -156,24 +162,27 @@ def top_k(points, queries, k=5):
     dot = F.aggregate(F.zip_with("v", "centre", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     # Every query against every shard's ball (not its rows): the bound decides which shards it visits.
-    bounds = queries.join(balls, F.size("v") == F.col("size")).select(
-        "vec_id", "v", "shard", (dot + length * F.col("radius")).alias("bound"))
-    bounds = written(bounds.withColumn("bound", F.col("bound") + F.abs("bound") * 1e-9 + 1e-6), "bounds")
+    # Balls are dealt to parts of about BALLS, so that no part of this product grows with the data on both sides.
+    deals = balls.count() // BALLS + 1
+    dealt = balls.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(deals)))
+    spread = queries.select("vec_id", "v", F.size("v").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1)).cast("array<long>")).alias("part"))
+    bounds = spread.join(dealt, ["part", "size"]).select("vec_id", "shard", (dot + length * F.col("radius")).alias("bound"))
+    bounds = written(bounds.groupBy("vec_id", "shard").agg(F.max("bound").alias("bound")).withColumn("bound", F.col("bound") + F.abs("bound") * 1e-9 + 1e-6), "bounds")
     best = bounds.groupBy("vec_id").agg(F.max_by("shard", F.struct("bound", "shard")).alias("home"))
     first = bounds.join(written(best, "homes"), "vec_id").withColumn("floor", F.lit(float("-inf")))
 
     def searched(asked, name):
         # A shard meets its queries in blocks, each with a copy of the shard's rows, so a group stays bounded.
         counts = written(asked.groupBy("shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks")), "blocks")
-        asked = asked.join(counts, "shard").select("shard", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v", "floor")
+        asked = asked.join(counts, "shard").join(queries, "vec_id").select("shard", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v", "floor")
         rows = shards.join(counts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v",
                                                    F.lit(None).cast("double").alias("floor"))
         return written(asked.union(rows).groupBy("shard", "block").applyInArrow(_search(k), HITS), name)
 
-    hits = searched(first.filter("shard = home").select("shard", "vec_id", "v", "floor"), "first")
+    hits = searched(first.filter("shard = home").select("shard", "vec_id", "floor"), "first")
     floors = hits.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).otherwise(float("-inf")).alias("kth"))
     second = first.filter("shard <> home").join(written(floors, "floors"), "vec_id", "left").withColumn("floor", F.coalesce("kth", "floor"))
-    hits = hits.union(searched(second.filter("bound >= floor").select("shard", "vec_id", "v", "floor"), "second"))
+    hits = hits.union(searched(second.filter("bound >= floor").select("shard", "vec_id", "floor"), "second"))
     from pyspark.sql import Window
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
