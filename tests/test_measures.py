@@ -1,8 +1,11 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import features as FE, metrics as M, rouge as R, search as SE, splits as SP, summarize as SU, topics as T
+from textsignal.operators import features as FE, keyword as K, metrics as M, rouge as R, search as SE, splits as SP, summarize as SU, topics as T
 from textsignal.plans import queries_search as QS
 
 
@@ -73,13 +76,43 @@ def test_bm25_literal(spark, query, scores):
     assert {r["idx"]: r["score"] for r in hits.collect()} == pytest.approx(dict(enumerate(scores)), abs=1e-6)
 
 
-def test_bm25_in_blocks_equals_one_pass(spark, monkeypatch):
-    docs = spark.range(60).select(F.col("id").alias("idx"), F.concat_ws(" ", *[F.concat(F.lit(p), F.col("id") % m) for p, m in
-                                                                               (("a", 2), ("b", 3), ("c", 5), ("d", 7))]).alias("text"))
-    asked = spark.range(20).select(F.col("id").alias("query_id"), F.concat(F.lit("a1 b"), F.col("id") % 3, F.lit(" d"), F.col("id") % 7).alias("text"))
-    whole = sorted(map(tuple, SE.bm25_top_k(asked, docs, 5).collect()))
-    monkeypatch.setattr("textsignal.config.TERM_BLOCK", 10)
-    assert sorted(map(tuple, SE.bm25_top_k(asked, docs, 5).collect())) == whole and len(whole) == 100
+def plain_bm25(docs, asked, k, k1=1.5, b=.75, epsilon=.25):
+    words = {i: t.lower().split() for i, t in docs}
+    df = Counter(t for ws in words.values() for t in set(ws))
+    idf = {t: math.log(len(docs) - n + .5) - math.log(n + .5) for t, n in df.items()}
+    low = epsilon * sum(idf.values()) / max(1, len(idf))
+    mean = sum(map(len, words.values())) / len(docs)
+    out = []
+    for q, text in asked:
+        score = lambda ws: sum((idf[t] if idf[t] >= 0 else low) * ws.count(t) * (k1 + 1) / (ws.count(t) + k1 * (1 - b + b * len(ws) / mean)) for t in text.lower().split() if t in ws)
+        best = sorted((-round(score(ws), 9), i) for i, ws in words.items())[:k]
+        out += [(q, i, rank) for rank, (_, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard, visitors, words", [(8_192, 4_096, 40), (16, 3, 40), (16, 3, 3), (5, 100, 400)])
+def test_keyword_index_equals_scoring_everything(spark, monkeypatch, shard, visitors, words):
+    """Over many shards and parts, with ties, empty documents, common words (weights below 0 where there are only few words), queries without a match."""
+    monkeypatch.setattr("textsignal.config.TERM_BLOCK", visitors)
+    rng = np.random.default_rng(shard + words)
+    pick = lambda n: " ".join(f"w{int(x * x * words)}" for x in rng.random(n))
+    docs = [(int(i) * 3 - 100, pick(rng.integers(0, 12))) for i in rng.permutation(200)]
+    asked = [(i, pick(rng.integers(0, 6))) for i in range(40)] + [(90, "none here"), (91, "w0 w0 w0"), (92, "")]
+    index = K.KeywordIndex.build(spark.createDataFrame(docs, "idx long, text string").repartition(7), shard_docs=shard)
+    for k in (1, 10, 300):
+        hits = K.search(spark.createDataFrame(asked, "query_id long, text string"), index, k)
+        assert sorted((r.query_id, r.idx, r["rank"]) for r in hits.collect()) == plain_bm25(docs, asked, k)
+
+
+def test_keyword_index_is_read_back(spark, tmp_path):
+    docs = spark.createDataFrame([*enumerate(DOCS), (9, None), (None, "sleep")], "idx long, text string")
+    K.KeywordIndex.build(docs, str(tmp_path / "index"))
+    index = K.KeywordIndex.load(spark, str(tmp_path / "index"))
+    assert index.stats["n_docs"] == 4 and {r.term: r.df for r in index.terms.collect()}["sleep"] == 3
+    asked = spark.createDataFrame([(7, "sleep medication")], "query_id long, text string")
+    assert [r.idx for r in K.search(asked, index, 2).orderBy("rank").collect()] == [2, 1]
+    none = docs.filter("idx > 100")
+    assert K.search(asked, K.KeywordIndex.build(none)).count() == 0
 
 
 @pytest.fixture(scope="module")

@@ -34,5 +34,7 @@ MIN_SENTENCE_WORDS = 4
 BROADCAST_ROWS = 50_000
 # Query vectors scored per pass over the corpus.
 QUERY_BLOCK = 4_096
-# Query terms per pass of keyword search; bounds the query × term weight matrix.
-TERM_BLOCK = 8_192
+# Documents of a shard of the keyword index; bounds a posting row.
+SHARD_DOCS = 16_384
+# Query terms that meet one copy of a shard's posting rows.
+TERM_BLOCK = 65_536

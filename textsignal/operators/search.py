@@ -1,23 +1,18 @@
 """Keyword and vector top-k for batches of queries."""
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
 from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators.bounds import collect_bounded, small_side, unnest
+from textsignal.operators.keyword import KeywordIndex, bm25_idf, bm25_tokens, bm25_top_k  # noqa: F401
+from textsignal.operators.ranking import top_k
 from textsignal.sources.writers import scratch_dir, write_table
 
 SCORE_DIGITS = 9
 
 
-def top_k(scored, k, query="query_id", idx="idx", score="score", rank="rank"):
-    """Best k rows per query. Spark keeps k per query and task before the exchange."""
-    w = W.partitionBy(query).orderBy(F.desc(score), idx)
-    return scored.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
-
-
 # ---------------------------------------------------------------- vectors
 
 def _matrix(column):
@@ -226,20 +221,10 @@ def recall(approximate, exact, k=config.TOP_K):
 
 # ---------------------------------------------------------------- keywords
 
-def bm25_tokens(c):
-    return X.tokenize(F.lower(c), "whitespace")
-
-
-def bm25_idf(n, df):
-    return F.log(n - df + 0.5) - F.log(df + 0.5)
-
-
-def document_frequencies(docs, text="text", only=None):
-    """(term, df) over the whole vocabulary, or over some terms. The distinct tokens of a document are found
-    inside its row, and tokens not asked for never leave it."""
+def document_frequencies(docs, text="text"):
+    """(term, df) over the whole vocabulary. The distinct tokens of a document are found inside its row."""
     tokens = docs.select(F.array_distinct(bm25_tokens(F.col(text))).alias("_d"))
-    kept = F.col("_d") if only is None else X.keep_words("_d", only)
-    return unnest(tokens.select(kept.alias("_k")), [], "_k", "term").groupBy("term").agg(F.count("*").alias("df"))
+    return unnest(tokens, [], "_d", "term").groupBy("term").agg(F.count("*").alias("df"))
 
 
 def bm25_statistics(docs, text="text"):
@@ -252,72 +237,6 @@ def bm25_statistics(docs, text="text"):
     return shape.withColumn("mean_idf", vocabulary.agg(F.avg(bm25_idf(n, F.col("df"))).alias("m")).scalar())
 
 
-def _asked_blocks(queries, text):
-    """Query terms as Arrow tables (query_id, term, qtf; term null for a query without words), in blocks of a
-    checked size."""
-    asked = (queries.select(F.col("query_id").cast("long"), F.explode_outer(bm25_tokens(F.col(text))).alias("term"))
-             .groupBy("query_id", "term").agg(F.count("*").alias("qtf")))
-    return _blocks(asked, config.TERM_BLOCK)
-
-
-def bm25_top_k(queries, docs, k=config.TOP_K, id_col="idx", text="text",
-               k1=config.BM25_K1, b=config.BM25_B, epsilon=config.BM25_EPSILON):
-    """(query_id, idx, score, rank) for (query_id, text) queries over whole documents; exact.
-
-    Corpus statistics come from Spark aggregations. The scoring pass shuffles nothing: tokens outside
-    the queries are dropped inside the row, each task turns its rows into a term-count matrix, multiplies
-    it with the query weights, and sends on k hits per query. Every document is scored, so those without
-    any query term take part with score 0.
-    """
-    stats = bm25_statistics(docs, text).head()
-    found = _over_blocks(_asked_blocks(queries, text), lambda asked: _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon))
-    if found is None:
-        return queries.sparkSession.createDataFrame([], HITS + ", rank int")
-    return top_k(found, k)
-
-
-def _bm25_scan(docs, stats, asked, k, id_col, text, k1, b, epsilon):
-    spark = docs.sparkSession
-    terms = sorted({t for t in asked.column("term").to_pylist() if t is not None})
-    query_ids = np.unique(asked.column("query_id").to_numpy())
-    # At most one row per term asked for.
-    counted = document_frequencies(docs, text, terms).toArrow()
-    df = dict(zip(counted.column("term").to_pylist(), counted.column("df").to_pylist()))
-    weights = np.zeros((len(query_ids), len(terms)))
-    column = {t: i for i, t in enumerate(terms)}
-    row = {q: i for i, q in enumerate(query_ids.tolist())}
-    for q, t, qtf in zip(*[asked.column(c).to_pylist() for c in ("query_id", "term", "qtf")]):
-        if t in df:
-            idf = np.log(stats["n_docs"] - df[t] + 0.5) - np.log(df[t] + 0.5)
-            weights[row[q], column[t]] = qtf * (idf if idf >= 0 else epsilon * stats["mean_idf"])
-    shared = spark.sparkContext.broadcast((query_ids, weights, terms, stats["avg_len"]))
-    every_row = np.arange(len(query_ids))
-    step = max(1, 4_000_000 // max(1, len(terms)))
-
-    def run(batches):
-        q_ids, w, words, avg_len = shared.value
-        known = pa.array(words, pa.string())
-
-        def blocks():
-            for batch in batches:
-                for start in range(0, batch.num_rows, step):
-                    part = batch.slice(start, step)
-                    tokens = part.column("tokens")
-                    where = np.repeat(np.arange(part.num_rows), np.diff(tokens.offsets.to_numpy()))
-                    ids = pa.compute.index_in(tokens.flatten().cast(pa.string()), known).to_numpy(zero_copy_only=False)
-                    tf = np.bincount(where * len(words) + ids, minlength=part.num_rows * len(words)) \
-                        .reshape(part.num_rows, len(words)).astype("float64")
-                    length = part.column("len").to_numpy(zero_copy_only=False)[:, None]
-                    gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / avg_len))
-                    yield _block_hits(w @ gain.T, part.column("idx").to_numpy(zero_copy_only=False), every_row, k)
-
-        yield _task_top_k(q_ids, blocks(), k)
-
-    tokens = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).cast("long").alias("idx"), bm25_tokens(F.col(text)).alias("_t"))
-    kept = tokens.select("idx", F.size("_t").alias("len"), X.keep_words("_t", terms).alias("tokens"))
-    return kept.mapInArrow(run, HITS), shared
-
-
 def compare(dense, keyword):
     """Ranks and scores of both searches side by side; a hit of only one side has nulls for the other."""
     d = dense.select("query_id", "idx", F.col("rank").alias("dense_rank"), F.col("score").alias("dense_score"))

@@ -43,3 +43,10 @@ def scratch_dir(spark, name):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="textsignal-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df, name):
+    """Write a frame to a scratch folder and read it back: what made it runs once, and its lineage ends there."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
