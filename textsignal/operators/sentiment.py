@@ -151,8 +151,9 @@ def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_",
     tokens = tokens.withColumn("_v", _start(F.col("valence"), F.col("token"), F.col("_next_v").isNotNull(), p1, p2, p3))
     for d, p in zip((1, 2, 3), (p1, p2, p3)):
         tokens = tokens.withColumn("_v", _shift(F.col("_v"), d, p, F.col(f"_v{d}").isNotNull(), p1, p2, p3))
-    tokens = tokens.withColumn("_v", _phrase(F.col("_v"), F.col("token"), F.col("_v3").isNotNull(), p1, p2, p3, F.col("_next"), F.col("_next2"),
-                                             idioms, pairs))
+    said = _phrase(F.col("_v"), F.col("token"), F.col("_v3").isNotNull(), p1, p2, p3, F.col("_next"), F.col("_next2"), idioms, pairs)
+    # Only words of the lexicon are scored, so only for them the phrases around are put together.
+    tokens = tokens.withColumn("_v", F.when(F.col("valence").isNotNull(), said))
     counts = (F.col("valence").isNotNull() & ~_is_degree(F.col("token"))
               & ~((F.col("token") == "kind") & _is(F.col("_next"), "of")))
     tokens = tokens.withColumn("_v", F.when(counts, _least(F.col("_v"), p1, F.col("_v1").isNotNull(), p2)
