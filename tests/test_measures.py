@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import features as FE, keyword as K, metrics as M, rouge as R, search as SE, splits as SP, summarize as SU, topics as T
+from textsignal.operators import codes as CO, features as FE, keyword as K, metrics as M, rouge as R, search as SE, splits as SP, summarize as SU, topics as T
 from textsignal.plans import queries_search as QS
 
 
@@ -232,3 +232,29 @@ def test_topic_merge_is_transitive_and_keeps_outliers(spark):
     posts = spark.createDataFrame([(10, 3), (11, 0), (12, -1)], "id long, topic int")
     out = T.merge_topics(posts, T.merge_map(groups, pairs))
     assert {r["id"]: r["topic"] for r in out.collect()} == {10: 1, 11: 0, 12: -1}
+
+
+def test_code_search_is_exact_with_everything_read(spark, vectors):
+    m, df = vectors
+    index = CO.CodeIndex.build(df, groups=3)
+    hits = index.search(queries_of(spark, m, [0, 50, 399]), 7, probes=10_000, short=400).collect()
+    assert sorted((r.query_id, r["rank"], r.idx) for r in hits) == sorted((q, rank, i) for q in (0, 50, 399) for rank, (_, i) in enumerate(
+        sorted((-round(float(np.float64(m[q]) @ m[i]), 9), i) for i in range(len(m)))[:7], 1))
+
+
+def test_codes_come_close_and_cells_grow(spark):
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 900):
+        rows = rng.normal(size=(n, 8))
+        coder = CO.Quantiser(rows, max(1, round(n ** .5)), 4)
+        cell, codes = coder.encode(rows)
+        assert codes.shape == (n, 4) and len(coder.centres) <= 2 * max(1, round(n ** .5)) + 1
+        assert ((coder.decode(cell, codes) - rows) ** 2).sum() <= ((coder.centres[cell] - rows) ** 2).sum() + 1e-9
+        assert (cell[:, None] == np.arange(len(coder.centres))).any(0).sum() >= min(n, 3)
+
+
+def test_code_search_without_rows(spark, vectors):
+    m, df = vectors
+    none = df.filter("idx > 1000")
+    assert CO.CodeIndex.build(none).search(queries_of(spark, m, [1])).count() == 0
+    assert CO.CodeIndex.build(df).search(queries_of(spark, m, [1]).limit(0)).count() == 0

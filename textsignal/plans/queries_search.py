@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from textsignal import config
 from textsignal.functions import vectors as V
-from textsignal.operators import search as SE
+from textsignal.operators import codes as C, search as SE
 from textsignal.plans import sql as S
 from textsignal.plans.inputs import longs, table
 from textsignal.sources import writers
@@ -100,32 +100,47 @@ def _ivf(spark, d, queries=None, k=config.TOP_K, nprobe=config.IVF_PROBES):
     return SE.ivf_top_k(prototypes(spark, d) if queries is None else queries, SE.load_vector_table(spark, path), centres, k, nprobe)
 
 
-@query()
-def ivf_topk(spark, d):
-    return _shown(_ivf(spark, d))
-
-
 @query(f"WITH {CORPUS}, {PROTO}, {SCORED}, r AS (SELECT *, {RANK} AS rank FROM sc) SELECT query_id, idx, rank, round(score, 6) AS score FROM r WHERE rank <= 10")
 def ivf_all_cells(spark, d):
     """Probing every cell must give the exact result."""
     return _shown(_ivf(spark, d, nprobe=config.IVF_CELLS))
 
 
+def _every_20th(spark, d):
+    return bare_vectors(spark, d).filter("idx % 20 = 0").select(F.col("idx").alias("query_id"), "embedding")
+
+
+def _others(hits, k=config.TOP_K):
+    """Hits but for the query's own row."""
+    return SE.top_k(hits.filter("query_id <> idx").drop("rank"), k)
+
+
+@query()
+def ivf_topk(spark, d):
+    """The ten nearest others of every 20th vector by the code index."""
+    return _shown(_others(C.CodeIndex.build(bare_vectors(spark, d)).search(_every_20th(spark, d), config.TOP_K + 1)))
+
+
 @query()
 def ivf_recall(spark, d):
-    """Share of the ten nearest others of every 20th vector that the index finds."""
-    asked = bare_vectors(spark, d).filter("idx % 20 = 0").select(F.col("idx").alias("query_id"), "embedding")
-    others = lambda hits: hits.filter("query_id <> idx")
-    exact = others(SE.dense_top_k(asked, bare_vectors(spark, d), k=config.TOP_K + 1))
-    return SE.recall(others(_ivf(spark, d, asked, config.TOP_K + 1)), exact)
+    """Share of the ten nearest others of every 20th vector that the code index finds."""
+    exact = _others(SE.dense_top_k(_every_20th(spark, d), bare_vectors(spark, d), k=config.TOP_K + 1))
+    return SE.recall(_others(C.CodeIndex.build(bare_vectors(spark, d)).search(_every_20th(spark, d), config.TOP_K + 1)), exact)
 
 
 @query("SELECT true AS enough")
 def ivf_recall_bound(spark, d):
-    """The cells that are probed by default hold nine in ten of the exact hits."""
+    """The code index finds nine in ten of the exact hits with its defaults."""
     return ivf_recall(spark, d).select((F.col("recall") >= 0.9).alias("enough"))
 
 
+@query("SELECT vec_id AS idx, 1 AS n FROM embeddings")
+def code_index_cover(spark, d):
+    """Every vector is indexed once."""
+    index = C.CodeIndex.build(bare_vectors(spark, d))
+    return index.codes.filter(F.length("code") == config.CODE_GROUPS).groupBy("idx").agg(F.count("*").cast("int").alias("n"))
+
+
 # ------------------------------------------------------------------ keywords
 
 def _questions(spark, d):
