@@ -38,6 +38,8 @@ MIN_SENTENCE_WORDS = 4
 
 # A side is broadcast only after it was shown to hold at most this many rows.
 BROADCAST_ROWS = 50_000
+# Rows that look up their tokens together in a table too large for every task.
+PART_ROWS = 512
 # Query vectors scored per pass over the corpus.
 QUERY_BLOCK = 4_096
 # Documents of a shard of the keyword index; bounds a posting row.

@@ -1,15 +1,18 @@
 """Phrase and time entities of a post.
 
 `with_phrases` works inside the row: no shuffle, works on streams, takes the gazetteer as a dictionary.
-`phrases_by_join` joins n-grams to a gazetteer table of any size.
+`phrases_by_join` takes a gazetteer table of any size.
 """
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from textsignal import vocab
 from textsignal.functions import text as X
+from textsignal.operators import dictionary
 from textsignal.operators.bounds import bind
 
 ENTITY = "array<struct<start:int,n_words:int,phrase:string,label:string>>"
+FOUND = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("phrase", pa.string()), ("label", pa.string())]))
 
 
 def gazetteer_rows(phrases):
@@ -65,24 +68,30 @@ def with_phrases(df, phrases=None, text="text_clean_deep", max_chars=None, name=
     return bind(df, **{name: chosen}).drop("_tokens", "_found")
 
 
-def phrases_by_join(df, id_col, gazetteer, max_words, text="text_clean_deep", max_chars=None):
-    """(id, start, n_words, phrase, label) rows from a (phrase, label, n_words) table, in any case, phrases as written.
+def phrases_by_join(df, id_col, gazetteer, max_words=None, text="text_clean_deep", max_chars=None):
+    """(id, start, n_words, phrase, label) rows from a (phrase, label) table of any size, in any case, phrases as written.
 
-    The n-grams of a text meet the table in one equi-join; only hits are regrouped per post.
+    Posts meet the phrases by their first words only, and each part of the posts looks along a prefix tree of those that
+    its words can open. Phrases of more than `max_words` words are left out, if it is given. A phrase listed twice has the lesser label.
     """
     body = F.col(text) if max_chars is None else X.head_chars(F.col(text), max_chars)
-    tokens = df.select(id_col, X.tokenize(body, "whitespace").alias("_t"))
-    def placed(n):
-        return F.transform(X.ngrams(F.col("_t"), n), lambda g, i: F.struct(
-            i.alias("start"), F.lit(n).alias("n_words"), g.alias("phrase")))
-
-    every = F.flatten(F.array(*[placed(n) for n in range(1, max_words + 1)]))
-    grams = tokens.select(id_col, F.inline(every))
-    listed = gazetteer.select(F.lower("phrase").alias("_folded"), "label")
-    hits = grams.withColumn("_folded", F.lower("phrase")).join(listed, "_folded")
-    per_post = hits.groupBy(id_col).agg(
-        F.collect_list(F.struct("start", "n_words", "phrase", "label")).alias("found"))
-    return (per_post.select(id_col, F.explode(_longest_first(F.col("found").cast(ENTITY))).alias("e"))
+    rows = df.select(id_col, X.tokenize(body, "whitespace").alias("_words")).filter(F.size("_words") > 0)
+    rows = rows.select(id_col, "_words", F.transform("_words", lambda t: F.lower(t)).alias("_folded"))
+    folded = X.tokenize(F.lower("phrase"), "whitespace")
+    listed = gazetteer.select(F.get(folded, F.lit(0)).alias("token"), F.array_join(folded, " ").alias("phrase"), "label").filter(F.col("token").isNotNull())
+    if max_words is not None:
+        listed = listed.filter(F.size(F.split("phrase", " ")) <= max_words)
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def apply(batch, entries):
+        pairs = sorted(zip(entries.column("phrase").to_pylist(), entries.column("label").to_pylist()), reverse=True)
+        number, root = dictionary.phrase_trie(pairs)
+        found = [[{"start": i, "n_words": n, "phrase": " ".join(words[i:i + n]), "label": label} for i, n, label in dictionary.find_phrases(low, number, root)]
+                 for words, low in zip(batch.column("_words").to_pylist(), batch.column("_folded").to_pylist())]
+        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(found, FOUND)], names=[id_col, "found"])
+
+    per_post = dictionary.look_up(rows, "_folded", listed, apply, f"`{id_col}` {kind}, found {ENTITY}")
+    return (per_post.filter(F.size("found") > 0).select(id_col, F.explode(_longest_first(F.col("found"))).alias("e"))
             .select(id_col, "e.*"))
 
 

@@ -1,12 +1,13 @@
 """Rule-based sentiment from a valence lexicon (Hutto & Gilbert 2014).
 
 Two forms with equal results. `score` works inside the row: no shuffle, works on streams, takes the
-lexicon as a dictionary. `score_by_join` joins exploded tokens to a lexicon table of any size.
+lexicon as a dictionary. `score_by_join` takes a lexicon table of any size.
 """
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
 from textsignal import vocab
 from textsignal.functions import text as X
+from textsignal.operators import dictionary
 from textsignal.operators.bounds import bind
 
 SCORE_COLUMNS = ["compound", "pos", "neg", "neu"]
@@ -90,13 +91,9 @@ def _scores(total, pos_sum, neg_sum, neu, n):
             "neg": share(F.abs(neg_sum)), "neu": share(neu)}
 
 
-def score(df, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
-    """Add compound, pos, neg, neu and the sentiment class, computed within each row.
-
-    `lexicon` maps token → valence, `idioms` maps phrase → valence, `pairs` lists two-word dampeners. Membership is one hash probe per token; the rule chain runs only
-    on lexicon hits.
-    """
-    listed = lambda w: F.coalesce(X.in_words(w, lexicon), F.lit(False))
+def _score_rows(df, base, listed, prefix, idioms, pairs):
+    """Scores from a row's `_tokens`. base(word, i) is the valence of the word at i, listed(i) whether the word there has one; the rule
+    chain runs only on words that have."""
     tokens = F.col("_tokens")
     # A one-element array binds the running value, so that each step names it instead of repeating it.
     then = lambda v, step: F.get(F.transform(F.array(v), step), F.lit(0))
@@ -104,20 +101,18 @@ def score(df, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDI
     def valence(word, i):
         near = [F.get(tokens, i - d) for d in (1, 2, 3)]
         p1, p2, p3 = near
-        v = _start(X.lookup(word, lexicon), word, listed(F.get(tokens, i + 1)), p1, p2, p3)
+        v = _start(base(word, i), word, listed(i + 1), p1, p2, p3)
         for d, p in zip((1, 2, 3), near):
-            v = then(v, lambda x: _shift(x, d, p, listed(p), p1, p2, p3))
+            v = then(v, lambda x: _shift(x, d, p, listed(i - d), p1, p2, p3))
         n1, n2 = F.get(tokens, i + 1), F.get(tokens, i + 2)
-        v = then(v, lambda x: _phrase(x, word, listed(p3), p1, p2, p3, n1, n2, idioms, pairs))
-        v = then(v, lambda x: _least(x, p1, listed(p1), p2))
-        counts = listed(word) & ~_is_degree(word) & ~((word == "kind") & _is(F.get(tokens, i + 1), "of"))
+        v = then(v, lambda x: _phrase(x, word, listed(i - 3), p1, p2, p3, n1, n2, idioms, pairs))
+        v = then(v, lambda x: _least(x, p1, listed(i - 1), p2))
+        counts = listed(i) & ~_is_degree(word) & ~((word == "kind") & _is(F.get(tokens, i + 1), "of"))
         return F.when(counts, v * _but_weight(i, F.col("_but"))).otherwise(0.0)
 
     add = lambda arr: F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
     values = F.col("_values")
-    scored = (bind(df, _tokens=X.tokenize(F.col(text), "whitespace"))
-              .withColumn("_but", F.when(F.array_contains("_tokens", "but"),
-                                         (F.array_position("_tokens", "but") - 1).cast("int")))
+    scored = (df.withColumn("_but", F.when(F.array_contains("_tokens", "but"), (F.array_position("_tokens", "but") - 1).cast("int")))
               .transform(lambda t: bind(t, _values=F.transform("_tokens", valence)))
               .withColumns({
                   "_total": add(values),
@@ -131,40 +126,19 @@ def score(df, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDI
             .drop("_tokens", "_but", "_values", "_total", "_pos", "_neg", "_neu", "_n"))
 
 
-def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
-    """Same scores as (id, ...) rows, from a (token, valence) table joined to the exploded tokens.
+def score(df, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
+    """Add compound, pos, neg, neu and the sentiment class, computed within each row.
 
-    Posts are hashed by id once; the neighbour windows and the sums per post reuse that layout.
+    `lexicon` maps token → valence, `idioms` maps phrase → valence, `pairs` lists two-word dampeners. Membership is one hash probe per token.
     """
-    tokens = (df.select(id_col, X.tokenize(F.col(text), "whitespace").alias("_t")).repartition(F.col(id_col))
-              .select(id_col, F.posexplode_outer("_t").alias("pos", "token"))
-              .join(lexicon.select("token", "valence"), "token", "left"))
-    near = W.partitionBy(id_col).orderBy("pos")
-    whole = W.partitionBy(id_col)
-    cols = {"_but": F.min(F.when(F.col("token") == "but", F.col("pos"))).over(whole),
-            "_next": F.lead("token").over(near), "_next2": F.lead("token", 2).over(near), "_next_v": F.lead("valence").over(near)}
-    for d in (1, 2, 3):
-        cols[f"_p{d}"] = F.lag("token", d).over(near)
-        cols[f"_v{d}"] = F.lag("valence", d).over(near)
-    tokens = tokens.withColumns(cols)
-    p1, p2, p3 = (F.col(f"_p{d}") for d in (1, 2, 3))
-    tokens = tokens.withColumn("_v", _start(F.col("valence"), F.col("token"), F.col("_next_v").isNotNull(), p1, p2, p3))
-    for d, p in zip((1, 2, 3), (p1, p2, p3)):
-        tokens = tokens.withColumn("_v", _shift(F.col("_v"), d, p, F.col(f"_v{d}").isNotNull(), p1, p2, p3))
-    said = _phrase(F.col("_v"), F.col("token"), F.col("_v3").isNotNull(), p1, p2, p3, F.col("_next"), F.col("_next2"), idioms, pairs)
-    # Only words of the lexicon are scored, so only for them the phrases around are put together.
-    tokens = tokens.withColumn("_v", F.when(F.col("valence").isNotNull(), said))
-    counts = (F.col("valence").isNotNull() & ~_is_degree(F.col("token"))
-              & ~((F.col("token") == "kind") & _is(F.col("_next"), "of")))
-    tokens = tokens.withColumn("_v", F.when(counts, _least(F.col("_v"), p1, F.col("_v1").isNotNull(), p2)
-                                            * _but_weight(F.col("pos"), F.col("_but"))).otherwise(0.0))
-    v = F.col("_v")
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    sums = tokens.groupBy(id_col).agg(
-        zero(F.sum(v)).alias("_total"), zero(F.sum(F.when(v > 0, v + 1))).alias("_pos"),
-        zero(F.sum(F.when(v < 0, v - 1))).alias("_neg"),
-        F.count(F.when((v == 0) & F.col("token").isNotNull(), 1)).cast("double").alias("_neu"),
-        F.count("token").alias("_n"))
-    out = _scores(*[F.col(c) for c in ("_total", "_pos", "_neg", "_neu", "_n")])
-    scored = sums.select(id_col, *[c.alias(prefix + k) for k, c in out.items()])
-    return scored.withColumn(prefix + "sentiment", X.sentiment_class(F.col(prefix + "compound")))
+    tokens = bind(df, _tokens=X.tokenize(F.col(text), "whitespace"))
+    listed = lambda i: F.coalesce(X.in_words(F.get(F.col("_tokens"), i), lexicon), F.lit(False))
+    return _score_rows(tokens, lambda word, i: X.lookup(word, lexicon), listed, prefix, idioms, pairs)
+
+
+def score_by_join(df, id_col, lexicon, text="text_clean_deep", prefix="vader_", idioms=vocab.IDIOMS, pairs=vocab.DAMPENER_PAIRS):
+    """Same scores as (id, ...) rows, from a (token, valence) table of any size with one row per token."""
+    tokens = df.select(id_col, X.tokenize(F.col(text), "whitespace").alias("_tokens"))
+    known = dictionary.add_values(tokens, "_tokens", lexicon, "valence", "_known")
+    listed = lambda i: F.get(F.col("_known"), i).isNotNull()
+    return _score_rows(known, lambda word, i: F.get(F.col("_known"), i), listed, prefix, idioms, pairs).drop("_known")

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W, functions as F, types as T
 from textsignal import vocab
 from textsignal.functions import text as X
 from textsignal.functions.stemming import stem
+from textsignal.operators import dictionary
 from textsignal.operators.bounds import unnest
 
 
@@ -21,43 +22,33 @@ def adjacent_pairs(tokens_df, id_col):
 
 
 def drop_listed(tokens_df, words_df):
-    """Tokens that are not in a word table. The table is broadcast only if Spark knows it is small."""
-    return tokens_df.join(words_df.select(F.col("token")), "token", "left_anti")
+    """Tokens that are not in a word table of any size."""
+    return dictionary.keep(tokens_df, "token", words_df, False)
 
 
 def keep_listed(tokens_df, words_df):
-    """Tokens that are in a word table."""
-    return tokens_df.join(words_df.select(F.col("token")), "token", "left_semi")
+    """Tokens that are in a word table of any size."""
+    return dictionary.keep(tokens_df, "token", words_df, True)
 
 
-def _map_tokens(df, id_col, tokens, lexicon, keep):
-    """Look up every token and put the kept results back into one array per row.
-
-    Rows are hashed by id first, so the regrouping after the join needs no second exchange; a row
-    without tokens stays, with an empty array.
-    """
-    exploded = (df.select(id_col, F.col(tokens).alias("_t")).repartition(F.col(id_col))
-                .select(id_col, F.posexplode_outer("_t").alias("pos", "token")))
-    joined = exploded.join(lexicon, "token", "left")
-    kept, value = keep
-    item = F.when(F.col("token").isNotNull() & kept, F.struct("pos", value.alias("v")))
-    return (joined.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-            .select(id_col, F.transform("_items", lambda s: s["v"]).alias(tokens)))
+def lemmas(df, lexicon, tokens="tokens", name="lemmas"):
+    """Add the lemma of each token from a (token, lemma) table of any size; unknown tokens are their own lemma."""
+    found = dictionary.add_values(df, tokens, lexicon, "lemma", "_lemma")
+    return found.withColumn(name, F.zip_with("_lemma", tokens, lambda l, t: F.coalesce(l, t))).drop("_lemma")
 
 
 def lemmatize(df, id_col, lexicon, tokens="tokens", stopwords=vocab.STOPWORDS):
-    """Lemma of each token from a (token, lemma) table, unknown tokens unchanged; lemmas on the second stop
-    list are dropped."""
-    lemma = F.coalesce("lemma", "token")
-    return _map_tokens(df, id_col, tokens, lexicon.select("token", "lemma"),
-                       (~X.in_words(lemma, stopwords), lemma))
+    """(id, tokens): lemmas from a (token, lemma) table with one row per token, unknown tokens unchanged; lemmas on the second stop
+    list are dropped. A row without tokens has an empty array."""
+    found = lemmas(df.select(id_col, tokens), lexicon, tokens, "_lemmas")
+    return found.select(id_col, F.filter("_lemmas", lambda t: t.isNotNull() & ~X.in_words(t, stopwords)).alias(tokens))
 
 
 def adjectives_and_nouns(df, id_col, lexicon, tokens="tokens", function_words=vocab.STOPWORDS):
-    """Tokens tagged JJ* or NN*, from a (token, pos) table with word-shape defaults."""
-    tag = X.part_of_speech(F.col("token"), F.col("pos_tag"), function_words)
-    return _map_tokens(df, id_col, tokens, lexicon.select("token", F.col("pos").alias("pos_tag")),
-                       (X.is_adjective_or_noun(tag), F.col("token")))
+    """(id, tokens): those tagged JJ* or NN*, from a (token, pos) table with one row per token, and word-shape defaults."""
+    found = dictionary.add_values(df.select(id_col, tokens), tokens, lexicon, "pos", "_tag")
+    tagged = F.zip_with(tokens, "_tag", lambda t, p: F.when(X.is_adjective_or_noun(X.part_of_speech(t, p, function_words)), t))
+    return found.select(id_col, F.array_compact(tagged).alias(tokens))
 
 
 @F.pandas_udf(T.StringType())

@@ -109,8 +109,8 @@ def clean_classical(spark, d):
 @query(f"WITH {LEMMA_SQL} SELECT lemma, count(*) AS n FROM l GROUP BY lemma")
 def lemma_join(spark, d):
     kept = _word_tokens(spark, d).withColumn("tokens", X.remove_stopwords(F.col("tokens")))
-    joined_ = TK.explode_tokens(kept, "doc_id").join(word_table(spark, I.LEMMAS, "lemma"), "token", "left")
-    return joined_.groupBy(F.coalesce("lemma", "token").alias("lemma")).agg(F.count("*").alias("n"))
+    found = TK.lemmas(kept, word_table(spark, I.LEMMAS, "lemma"))
+    return found.select(F.explode("lemmas").alias("lemma")).groupBy("lemma").agg(F.count("*").alias("n"))
 
 
 _SHAPES = [("^[0-9]+$", "CD"), *((f"({'|'.join(e)})$", v) for v, e in vocab.SUFFIX_TAGS), ("[^s]s$", "NNS")]
