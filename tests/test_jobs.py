@@ -3,7 +3,7 @@ import pytest
 import numpy as np
 from pyspark.sql import functions as F
 
-from textsignal.operators import classify as C, embeddings as EM, ingest, topics as T
+from textsignal.operators import classify as C, embeddings as EM, ingest, lda as LDA, topics as T
 from textsignal.operators.bounds import local_table
 from textsignal.plans import stages
 from textsignal.sources import readers, writers
@@ -126,18 +126,48 @@ def test_own_encoder(spark, corpus):
 
 def test_lda_keeps_the_whole_dictionary(spark):
     df = spark.range(6).select(F.transform(F.sequence(F.lit(1), F.lit(100_500)), lambda i: i.cast("string")).alias("tokens"))
-    fit = lambda **more: T.fit_lda(df, topics=2, passes=1, max_df=6, sampling=1.0, **more)[0].vocabulary
-    assert len(fit()) == 100_500 and len(fit(keep=7)) == 7
+    fit = lambda **more: LDA.fit(df, topics=2, passes=1, max_df=6, **more).terms.count()
+    assert fit() == 100_500 and fit(keep=7) == 7
 
 
 def test_lda_reports_k_topics(spark, corpus):
-    counter, lda = T.fit_lda(corpus.select(F.split("text", " ").alias("tokens")), topics=3, passes=4)
-    terms = T.topic_terms(counter, lda, 5)
+    terms = LDA.fit(corpus.select(F.split("text", " ").alias("tokens")), topics=3, passes=4).topic_terms(5)
     assert terms.count() == 15
     words = T.topic_word_lists(terms).orderBy("topic").collect()
     assert [r["topic"] for r in words] == ["topic_0", "topic_1", "topic_2"] and all(len(r["words"]) == 5 for r in words)
 
 
+@pytest.mark.parametrize("part_rows", [512, 7])
+def test_lda_finds_planted_topics(spark, part_rows):
+    """Documents of one or two of four topics with own words: each topic found holds one planted topic's words."""
+    rng = np.random.default_rng(0)
+    docs = []
+    for i in range(240):
+        first, second = rng.choice(4, 2, replace=False)
+        share = rng.choice([0.0, 0.3])
+        docs.append((i, [f"t{second if rng.random() < share else first}w{rng.integers(12)}" for _ in range(40)] + ["common"]))
+    df = spark.createDataFrame([*docs, (900, []), (901, None), (902, ["never"])], "id long, tokens array<string>")
+    model = LDA.fit(df, topics=4, passes=15, part_rows=part_rows)
+    found = {}
+    for r in model.topic_terms(8).collect():
+        found.setdefault(r.topic, []).append(r.term[:2])
+    assert {tuple(set(words)) for words in found.values()} == {("t0",), ("t1",), ("t2",), ("t3",)}
+    assert "common" not in {r.term for r in model.terms.collect()} and model.alpha.max() < 0.25
+    assert LDA.fit(df.limit(0), topics=2).topic_terms().count() == 0
+
+
+def test_lda_numbers(spark):
+    """Digamma and trigamma against differences of the log gamma function, one pass against plain variational updates."""
+    import math
+    x = np.array([0.01, 0.3, 1.0, 4.7, 6.0, 55.0])
+    log_gamma = np.vectorize(math.lgamma)
+    assert LDA.digamma(x) == pytest.approx((log_gamma(x * (1 + 1e-6)) - log_gamma(x * (1 - 1e-6))) / (2e-6 * x), rel=1e-5)
+    assert LDA.trigamma(x) == pytest.approx((LDA.digamma(x * (1 + 1e-5)) - LDA.digamma(x * (1 - 1e-5))) / (2e-5 * x), rel=1e-4)
+    beta, alpha, n = np.array([[.5, .1], [.2, .6], [.3, .3]]), np.array([.4, .7]), np.array([2., 1., 3., 1.])
+    gamma, entries = LDA.fit_documents(np.array([0, 3, 4]), np.array([0, 1, 2, 1]), n, beta, alpha)
+    assert gamma == pytest.approx(alpha + np.add.reduceat(entries, [0, 3], 0), abs=0.02) and entries.sum(1) == pytest.approx(n)
+
+
 def test_query_blocks_are_held_one_at_a_time(spark, monkeypatch):
     from textsignal import config
     from textsignal.operators import search as SE

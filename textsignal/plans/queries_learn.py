@@ -3,7 +3,7 @@ invariants: here where SQL can state them, else in the tests."""
 from pyspark.sql import functions as F
 
 from textsignal.functions import text as X
-from textsignal.operators import classify as C, embeddings as EM, search as SE, topics as T
+from textsignal.operators import classify as C, embeddings as EM, lda as LDA, search as SE, topics as T
 from textsignal.plans.inputs import longs, table
 from textsignal.sources import writers
 
@@ -78,14 +78,12 @@ def word_analogy(spark, d):
 
 @query
 def lda_topics(spark, d):
-    counter, lda = T.fit_lda(_tokens(spark, d))
-    return longs(T.topic_terms(counter, lda))
+    return longs(LDA.fit(_tokens(spark, d)).topic_terms())
 
 
 @query
 def lda_topics_json(spark, d):
-    counter, lda = T.fit_lda(_tokens(spark, d))
-    return writers.map_json(T.topic_word_lists(T.topic_terms(counter, lda)), "topic", "words")
+    return writers.map_json(T.topic_word_lists(LDA.fit(_tokens(spark, d)).topic_terms()), "topic", "words")
 
 
 @stated("SELECT range::BIGINT AS topic, 8::BIGINT AS n_words, true AS ordered FROM range(10)")
