@@ -12,6 +12,7 @@ from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators import metrics
 from textsignal.operators.splits import stratified_split
+from textsignal.sources.writers import stored
 
 BOW, TFIDF = "bow", "tfidf"
 
@@ -52,6 +53,7 @@ def random_forest(trees=200, max_depth=30, seed=config.SEED):
 
 def build_models(n_rows, trees=200, max_depth=30):
     """Name → (feature kind, n-gram length, classifier), in the order in which ties are decided."""
+    # The names under which the models are reported.
     return {
         "BoW + LogReg": (BOW, 2, logistic_regression(n_rows)),
         "TF-IDF + LogReg": (TFIDF, 2, logistic_regression(n_rows)),
@@ -102,6 +104,8 @@ def train_and_rank(df, text, label, id_col, test_size=config.TEST_SIZE, models=N
     every = preds[0]
     for p in preds[1:]:
         every = every.unionByName(p)
+    # Kept as a table: the split and the models' work on it are not repeated by those who read the predictions.
+    every = stored(every, "predictions")
     position = F.array_position(F.array(*[F.lit(n) for n in specs]), F.col("model"))
     scores = metrics.ranking(every).withColumn("position", position.cast("int"))
     scores = scores.sparkSession.createDataFrame(scores.toArrow(), schema=scores.schema)

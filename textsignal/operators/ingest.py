@@ -7,7 +7,7 @@ from textsignal import vocab
 from textsignal.functions import text as X
 from textsignal.operators.bounds import keep_bound
 from textsignal.sources.readers import pick_column
-from textsignal.sources.writers import scratch_dir, write_table
+from textsignal.sources.writers import scratch_dir, stored, write_table
 
 
 def from_forum(df, source, id_col=None):
@@ -54,14 +54,15 @@ def keep_first_copy(df, text="text", order=("source_rank", "post_id")):
 
     Copies are found on a 32-byte digest with a map-side minimum, so a text that makes up a
     third of the table still arrives as one row per task, and no text is sorted or grouped.
-    The texts themselves are moved once, for a semi-join on the row key, whose values are unique and so
-    spread evenly.
+    Digests and keys are stored once; the rows lose those keys that are not the first of their digest, which are few
+    where copies are, so that texts stay where they lie if the list of them is small enough to broadcast.
     """
-    key = F.struct(*[F.col(c) for c in order])
-    first = (df.select(F.unhex(F.sha2(F.col(text), 256)).alias("digest"), key.alias("row_key"))
-             .groupBy("digest").agg(F.min("row_key").alias("row_key"))
-             .select(*[F.col("row_key")[c].alias(c) for c in order]))
-    return df.join(first, list(order), "left_semi")
+    # Null texts are copies of each other.
+    keys = stored(df.select(F.coalesce(F.unhex(F.sha2(F.col(text), 256)), F.unhex(F.lit(""))).alias("digest"), *order), "digests")
+    key = F.struct(*order)
+    first = keys.groupBy("digest").agg(F.min(key).alias("row_key"), F.count("*").alias("copies")).filter("copies > 1")
+    lost = keys.join(first.select("digest", "row_key"), "digest").filter(key != F.col("row_key")).select(*order)
+    return df.join(lost, list(order), "left_anti")
 
 
 def merge_sources(frames):

@@ -33,7 +33,10 @@ def dense_index(df, *order, name="idx", ranges=None):
 
 
 def sample_n(df, n, id_col, seed=config.SEED):
-    """Reproducible sample of n rows: the n smallest row hashes."""
+    """Reproducible sample of n rows: the n smallest row hashes. A table with fewer rows is refused."""
+    there = df.limit(n).count()
+    if there < n:
+        raise ValueError(f"a sample of {n} rows of {there}")
     return (df.withColumn("_h", X.row_hash(seed, id_col)).orderBy("_h", id_col).limit(n).drop("_h"))
 
 

@@ -3,7 +3,9 @@ invariants: here where SQL can state them, else in the tests."""
 from pyspark.sql import functions as F
 
 from textsignal.functions import text as X
-from textsignal.operators import classify as C, embeddings as EM, lda as LDA, search as SE, topics as T
+from textsignal.operators import classify as C, embeddings as EM, lda as LDA, search as SE, tokens as TK, topics as T
+from textsignal.operators.bounds import local_table
+from textsignal.plans import inputs as I, stages
 from textsignal.plans.inputs import longs, table
 from textsignal.sources import writers
 
@@ -28,6 +30,14 @@ def _labelled(spark, d):
     return table(spark, d, "documents").join(labels, "doc_id").select("doc_id", X.clean_deep(F.col("text")).alias("text"), "label")
 
 
+def _classical(spark, d):
+    """The same documents as the word models read them: stop words dropped, lemmas joined by blanks."""
+    docs = _labelled(spark, d)
+    kept = docs.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("tokens"))
+    lemmas = TK.lemmatize(kept, "doc_id", local_table(spark, {"token": list(I.LEMMAS), "lemma": list(I.LEMMAS.values())}, "token string, lemma string"))
+    return lemmas.join(docs.select("doc_id", "label"), "doc_id").select("doc_id", F.array_join("tokens", " ").alias("text"), "label")
+
+
 def _tokens(spark, d):
     clean = X.remove_stopwords(X.tokenize(X.clean_deep(F.col("text"))))
     return table(spark, d, "documents").select("doc_id", clean.alias("tokens"))
@@ -35,16 +45,38 @@ def _tokens(spark, d):
 
 @query
 def train_rank_models(spark, d):
-    scores, _, _, _ = C.train_and_rank(_labelled(spark, d), "text", "label", "doc_id")
+    scores, _, _, _ = C.train_and_rank(_classical(spark, d), "text", "label", "doc_id")
     return longs(scores)
 
 
+@stated("""WITH t AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'toxic' ELSE 'clean' END AS label FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL),
+n AS (SELECT label, count(*) AS n FROM t GROUP BY label)
+SELECT m.model, sum(round(0.15::DOUBLE * n))::BIGINT AS n_tested, count(*) AS n_classes, true AS better_than_guessing
+FROM n CROSS JOIN (VALUES ('BoW + LogReg'), ('TF-IDF + LogReg'), ('TF-IDF + SVM'), ('TF-IDF + RF')) m(model) GROUP BY m.model""")
+def train_rank_models_tested(spark, d):
+    """Every model labels every document of the stratified test part once, with known classes, and finds more of them than the largest class would."""
+    _, predictions, _, _ = C.train_and_rank(_classical(spark, d), "text", "label", "doc_id", trees=50, max_depth=12)
+    right = F.avg((F.col("y_true") == F.col("y_pred")).cast("double"))
+    most = F.greatest(*[F.avg((F.col("y_true") == c).cast("double")) for c in ("toxic", "clean")])
+    out = predictions.groupBy("model").agg(F.count_distinct("doc_id").alias("n_tested"), F.count_distinct("y_true").alias("n_classes"), (right >= most).alias("better_than_guessing"))
+    return longs(out)
+
+
 @query
 def fit_with_validation(spark, d):
     _, report, _, _ = C.fit_with_validation(_labelled(spark, d), "text", "label", "doc_id")
     return report
 
 
+@stated("""WITH t AS (SELECT CASE WHEN toxic = 1 THEN 'toxic' ELSE 'clean' END AS label FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL),
+n AS (SELECT label, round(0.15::DOUBLE * count(*))::BIGINT AS support FROM t GROUP BY label)
+SELECT label AS class, support, true AS sound FROM n UNION ALL SELECT c, sum(support)::BIGINT, true FROM n CROSS JOIN (VALUES ('macro avg'), ('weighted avg')) x(c) GROUP BY c""")
+def fit_with_validation_shape(spark, d):
+    """The report covers the held-out part by class, and its scores are shares."""
+    shares = [F.col(c).isNull() | F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return longs(fit_with_validation(spark, d).filter(F.col("class") != "accuracy").select("class", F.col("support").cast("long").alias("support"), (shares[0] & shares[1] & shares[2]).alias("sound")))
+
+
 @query
 def predict_batch(spark, d):
     """Train, save, load, and label every document."""
@@ -136,3 +168,30 @@ def document_vector_search(spark, d):
     queries = EM.document_vectors(asked, model, "item_id").withColumnRenamed("item_id", "query_id")
     hits = SE.dense_top_k(queries, corpus.withColumn("label", F.lit("unknown")))
     return longs(hits.withColumn("score", F.round("score", 6)))
+
+
+@stated("""SELECT 0::BIGINT AS topics_without_summary, 0::BIGINT AS empty_summaries, count(*) AS n_posts FROM documents WHERE text IS NOT NULL""")
+def topic_summaries(spark, d):
+    """Topics of trained vectors as clusters of the summaries: every topic is summarised, from all of its posts."""
+    _, assigned = _clusters(spark, d)
+    posts = table(spark, d, "documents").select(F.col("doc_id").alias("post_id"), "text").join(assigned.select(F.col("doc_id").alias("post_id"), "topic"), "post_id")
+    summaries, _ = stages.summarize_corpus(posts)
+    found = assigned.select("topic").distinct().join(summaries.withColumnRenamed("cluster_id", "topic"), "topic", "left")
+    return found.agg(F.count(F.when(F.col("n_posts").isNull(), 1)).alias("topics_without_summary"),
+                     F.count(F.when((F.length("extractive_summary") == 0) | (F.length("centroid_summary") == 0), 1)).alias("empty_summaries"), F.sum("n_posts").alias("n_posts"))
+
+
+def _letters():
+    """A caller's own encoder: how often a few letters occur."""
+    return lambda texts: [[float(t.count(c)) for c in "aeiou"] for t in texts]
+
+
+LETTERS = ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::DOUBLE" for c in "aeiou")
+
+
+@stated(f"""WITH v AS (SELECT doc_id, [{LETTERS}] AS v FROM documents WHERE text IS NOT NULL), n AS (SELECT doc_id, v, sqrt(list_inner_product(v, v)) AS n FROM v)
+SELECT doc_id, round(CASE WHEN n > 0 THEN v[1] / n ELSE 0 END, 6) AS a, round(CASE WHEN n > 0 THEN v[5] / n ELSE 0 END, 6) AS u FROM n""")
+def own_encoder(spark, d):
+    """Vectors from the caller's own model, unit length."""
+    out = EM.encode_with(table(spark, d, "documents"), "doc_id", "text", _letters)
+    return out.select("doc_id", *[F.round(F.get("embedding", F.lit(i)), 6).alias(c) for c, i in (("a", 0), ("u", 4))])

@@ -7,6 +7,7 @@ from textsignal.operators import entities as E, features as FE, sentiment, token
 from textsignal.operators.bounds import bind, keep_bound, local_table
 from textsignal.plans import inputs as I, sql as S
 from textsignal.plans.inputs import joined, longs, table
+from textsignal.sources import readers, writers
 
 QUERIES, SQL = {}, {}
 
@@ -213,6 +214,15 @@ def sentiment_scores_by_join(spark, d):
     return sentiment.score_by_join(_moody(spark, d), "doc_id", lexicon)
 
 
+@query(f"WITH {SENTIMENT_SQL} SELECT *, {CLASS_SQL} AS vader_sentiment FROM scored")
+def scored_table_round_trip(spark, d):
+    """The scored table, written by its stage and read back where an enriched table is preferred to the plain one."""
+    from textsignal.plans import stages
+    path = writers.scratch_dir(spark, "scored")
+    stages.write_stage(stages.score_corpus(_moody(spark, d), I.LEXICON), path)
+    return readers.read_first_existing(spark, [path, f"{d}/documents.parquet"]).drop("text_clean_deep")
+
+
 @query(f"WITH {SENTIMENT_SQL} SELECT {CLASS_SQL} AS vader_sentiment, count(*) AS n FROM scored GROUP BY ALL")
 def sentiment_label_counts(spark, d):
     return _scored(spark, d).groupBy("vader_sentiment").agg(F.count("*").alias("n"))

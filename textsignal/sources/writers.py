@@ -1,12 +1,17 @@
 """Sinks for tables, small JSON reports and vector tables."""
 from pyspark.sql import functions as F
 
+from textsignal import config
 
-def write_table(df, path, fmt="parquet", partition_by=None):
-    """Overwrite a stage table. CSV gets a header and doubled quotes, so it reads back unchanged."""
+
+def write_table(df, path, fmt="parquet", partition_by=None, salts=8):
+    """Overwrite a stage table. Rows of a partition value are gathered in `salts` tasks, so that no task writes a file to every folder. CSV gets a header and doubled quotes, so it reads back unchanged."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        # The salt comes from the whole row, so a value with a third of all rows is spread too.
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt")
+        placed = df.select("*", salt).repartition(F.col(partition_by), F.col("_salt")).drop("_salt")
+        writer = placed.write.mode("overwrite").partitionBy(partition_by)
     if fmt == "csv":
         writer.option("header", True).option("escape", '"').csv(path)
     else:
@@ -18,8 +23,10 @@ def write_bucketed(df, table, key, buckets):
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
-def map_json(df, key, value):
-    """A small report table (one row per topic, metric or class) as one JSON object."""
+def map_json(df, key, value, max_rows=config.BROADCAST_ROWS):
+    """A small report table (one row per topic, metric or class) as one JSON object; a table of more than `max_rows` rows is refused."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"a JSON report of more than {max_rows} rows")
     entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("key"),
                                                    F.col(value).alias("value"))))
     return df.agg(F.to_json(F.map_from_entries(entries)).alias("json"))
