@@ -101,7 +101,7 @@ def test_validation_picks_a_candidate_and_reports(spark, corpus):
 
 def test_word_vectors(spark, corpus):
     tokens = corpus.select("post_id", F.split("text", " ").alias("tokens"))
-    model = EM.train_word_vectors(tokens, size=16, epochs=8, partitions=2)
+    model = EM.train_word_vectors(tokens, size=16)
     words = EM.word_table(model)
     near = EM.word_neighbours(words, spark.createDataFrame([("lake",), ("absent",)], "probe string")).collect()
     known = [r for r in near if r["probe"] == "lake"]
@@ -119,6 +119,42 @@ def test_word_vectors(spark, corpus):
     assert sum(r["count"] for r in info) == 200 and all(len(r["representation"]) == 4 for r in info)
 
 
+@pytest.mark.parametrize("part_rows, block_pairs", [(512, 500_000), (7, 20)])
+def test_word_vectors_factor_the_information_matrix(spark, part_rows, block_pairs):
+    """With as many components as words, products of vectors are the matrix but for the sign of its directions; planted pairs are nearest."""
+    rng = np.random.default_rng(5)
+    texts = [(i, [f"{p}{rng.integers(2)}" if p in "ab" else f"{p}{rng.integers(6)}" for p in rng.choice(list("abcd"), 30, p=[.1, .1, .4, .4])]) for i in range(60)]
+    # x and y are used in the same places, so are u and v.
+    for i in range(60, 160):
+        texts.append((i, ["c0", "c1", rng.choice(["x", "y"]), "c2", "c0"] if i % 2 else ["d4", "d5", rng.choice(["u", "v"]), "d3", "d4"]))
+    texts = [(i, [str(t) for t in ts]) for i, ts in texts] + [(900, None), (901, []), (902, ["once"])]
+    words, counts, window = sorted({t for _, ts in texts for t in ts or []} - {"once"}), {}, 5
+    at = {w: i for i, w in enumerate(words)}
+    m = np.zeros((len(words), len(words)))
+    for _, ts in texts:
+        ts = [t for t in ts or [] if t in at]
+        for i in range(len(ts)):
+            for d in range(1, window + 1):
+                if i + d < len(ts):
+                    m[at[ts[i]], at[ts[i + d]]] += (window + 1 - d) / window
+                    m[at[ts[i + d]], at[ts[i]]] += (window + 1 - d) / window
+    with np.errstate(divide="ignore"):
+        m = np.maximum(np.log(m * m.sum() / np.outer(m.sum(0), m.sum(0))) - np.log(1.5), 0)
+    value, side = np.linalg.eigh(m)
+    want = side * np.abs(value) @ side.T
+    df = spark.createDataFrame(texts, "id long, tokens array<string>")
+    model = EM.train_word_vectors(df, size=40, shift=1.5, part_rows=part_rows, block_pairs=block_pairs)
+    rows = {r.word: r.v for r in model.collect()}
+    assert sorted(rows) == words
+    got = np.array([rows[w] for w in words])
+    assert got @ got.T == pytest.approx(want, abs=2e-3)
+    near = EM.word_neighbours(EM.word_table(model), spark.createDataFrame([("x",), ("u",)], "probe string"), 1)
+    assert {(r.probe, r.neighbour) for r in near.collect()} == {("x", "y"), ("u", "v")}
+    documents = {r.id: r.embedding for r in EM.document_vectors(df, model, "id").collect()}
+    mean = np.mean([rows[t] for t in texts[70][1] if t in rows], 0)
+    assert documents[70] == pytest.approx(mean / np.linalg.norm(mean), abs=1e-5) and not any(documents[902]) and len(documents) == len(texts)
+
+
 def test_own_encoder(spark, corpus):
     out = EM.encode_with(corpus, "post_id", "text", lambda: lambda texts: [[t.count("a"), t.count("i") + 1] for t in texts], 7)
     assert out.count() == 200 and sum(x * x for x in out.head()["embedding"]) == pytest.approx(1)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from textsignal.functions import text as X
 from textsignal.operators import classify as C, embeddings as EM, lda as LDA, search as SE, tokens as TK, topics as T
 from textsignal.operators.bounds import local_table
-from textsignal.plans import inputs as I, stages
+from textsignal.plans import inputs as I, sql as S, stages
 from textsignal.plans.inputs import longs, table
 from textsignal.sources import writers
 
@@ -98,10 +98,22 @@ def predict_batch_cover(spark, d):
 @query
 def word_neighbours(spark, d):
     words = EM.word_table(EM.train_word_vectors(_tokens(spark, d)))
-    probes = spark.createDataFrame([(w,) for w in ("stupid", "worthless", "license", "copyright", "medication")], "probe string")
+    probes = spark.createDataFrame([(w,) for w in PROBES], "probe string")
     return longs(EM.word_neighbours(words, probes))
 
 
+PROBES = ["stupid", "worthless", "license", "copyright", "medication"]
+
+
+@stated(f"""WITH t AS (SELECT unnest({S.kept(S.word_tokens(S.deep('text')))}) AS word FROM documents), n AS (SELECT word, count(*) AS n FROM t GROUP BY word)
+SELECT probe, coalesce(n >= 3, false) AS known, CASE WHEN n >= 3 THEN 5 ELSE 0 END::BIGINT AS n_neighbours, true AS sound FROM {S.values([(w,) for w in PROBES])} p(probe) LEFT JOIN n ON word = probe""")
+def word_neighbours_known(spark, d):
+    """Words used three times are known and have five other words as neighbours, best first."""
+    near = word_neighbours(spark, d)
+    sound = F.min(F.col("neighbour").isNull() | ((F.col("neighbour") != F.col("probe")) & F.col("score").between(-1.000001, 1.000001)))
+    return longs(near.groupBy("probe", "known").agg(F.count_distinct("neighbour").alias("n_neighbours"), sound.alias("sound")))
+
+
 @query
 def word_analogy(spark, d):
     words = EM.word_table(EM.train_word_vectors(_tokens(spark, d)))
@@ -170,6 +182,15 @@ def document_vector_search(spark, d):
     return longs(hits.withColumn("score", F.round("score", 6)))
 
 
+@stated("SELECT item_id AS query_id, 10::BIGINT AS n_hits, true AS ordered FROM benchmark")
+def document_vector_search_shape(spark, d):
+    """Ten documents for every query text, best first, by cosines."""
+    hits = document_vector_search(spark, d).groupBy("query_id").agg(
+        F.count_distinct("idx").alias("n_hits"), F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda s: s["score"]).alias("s"))
+    cosines = F.forall("s", lambda x: x.between(-1.000001, 1.000001))
+    return longs(hits.select("query_id", "n_hits", ((F.col("s") == F.sort_array("s", asc=False)) & cosines).alias("ordered")))
+
+
 @stated("""SELECT 0::BIGINT AS topics_without_summary, 0::BIGINT AS empty_summaries, count(*) AS n_posts FROM documents WHERE text IS NOT NULL""")
 def topic_summaries(spark, d):
     """Topics of trained vectors as clusters of the summaries: every topic is summarised, from all of its posts."""
