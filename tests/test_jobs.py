@@ -233,3 +233,29 @@ def test_cell_search_without_queries(spark):
     cells = spark.createDataFrame([(1, [1.0, 0.0], 0)], "idx long, embedding array<float>, cell int")
     none = spark.createDataFrame([], "query_id long, embedding array<float>")
     assert SE.ivf_top_k(none, cells, np.zeros((1, 2))).count() == 0
+
+
+def test_too_large_samples_and_reports_are_refused(spark):
+    from textsignal.operators.rows import sample_n
+    df = spark.range(5)
+    assert sample_n(df, 5, "id").count() == 5
+    with pytest.raises(ValueError):
+        sample_n(df, 6, "id").count()
+    with pytest.raises(ValueError):
+        writers.map_json(df.withColumn("v", F.lit(1)), "id", "v", max_rows=4)
+
+
+def test_partitions_are_written_by_few_tasks(spark, tmp_path):
+    """Each folder gets at most as many files as there are salts, though every task holds rows of every folder."""
+    df = spark.range(0, 4000, 1, 16).withColumn("cell", (F.col("id") % 3).cast("int"))
+    writers.write_table(df, str(tmp_path / "cells"), partition_by="cell", salts=2)
+    files = [len(list(p.glob("part-*"))) for p in (tmp_path / "cells").glob("cell=*")]
+    assert len(files) == 3 and max(files) <= 2
+    assert spark.read.parquet(str(tmp_path / "cells")).select("id").distinct().count() == 4000
+
+
+def test_first_copies_stay(spark):
+    rows = [(0, 1, "a"), (0, 2, None), (1, 1, "a"), (1, 3, None), (0, 4, "b"), (1, None, "c"), (1, 9, "c")]
+    df = spark.createDataFrame(rows, "source_rank int, post_id long, text string")
+    kept = {(r.source_rank, r.post_id, r.text) for r in ingest.keep_first_copy(df).collect()}
+    assert {(0, 1, "a"), (0, 2, None), (0, 4, "b")} <= kept and (1, 1, "a") not in kept and (1, 3, None) not in kept and len([k for k in kept if k[2] == "c"]) >= 1

@@ -349,5 +349,5 @@ def gazetteer_second_tagger(spark, d):
 SELECT label, count(*) AS n FROM entities WHERE doc_id IN (SELECT doc_id FROM s) GROUP BY label""")
 def entities_of_sample(spark, d):
     from textsignal.operators.rows import sample_n
-    picked = sample_n(docs(spark, d), 2000, "doc_id").select("doc_id", X.clean_deep(I.clinical_text()).alias("text_clean_deep"))
+    picked = sample_n(docs(spark, d), min(2000, docs(spark, d).count()), "doc_id").select("doc_id", X.clean_deep(I.clinical_text()).alias("text_clean_deep"))
     return _entity_rows(E.with_phrases(picked)).groupBy("label").agg(F.count("*").alias("n"))
