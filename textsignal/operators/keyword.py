@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textsignal import config
 from textsignal.functions import text as X
+from textsignal.operators.bounds import small_side
 from textsignal.operators.ranking import top_k
 from textsignal.sources.writers import stored, write_table
 
@@ -123,7 +124,8 @@ class KeywordIndex:
         avg_len = length / n_docs if n_docs else None
         terms = stored(counted.filter(F.col("term") != EVERY).groupBy("term").agg(F.sum(F.size("ids")).alias("df")), "terms")
         mean_idf = terms.agg(F.avg(bm25_idf(F.lit(n_docs), F.col("df")))).head()[0]
-        kept = counted if only is None else counted.join(only.select("term").union(spark.createDataFrame([(EVERY,)], "term string")), "term", "left_semi")
+        # Few terms go to every task, so that the other counts stay where they are.
+        kept = counted if only is None else counted.join(small_side(only.select("term").union(spark.createDataFrame([(EVERY,)], "term string"))), "term", "left_semi")
         # Files sorted by term: a search opens those of its terms. A common term goes over many of them, by shard.
         sort = ["term", "shard"]
         blocks = kept.repartitionByRange(*sort).sortWithinPartitions(*sort).mapInArrow(_post(k1, b, avg_len or 1.0), BLOCKS)
