@@ -25,9 +25,9 @@ ROOM = 1e-8
 # Stands for all documents in the index; no token is empty.
 EVERY = ""
 HITS = "query_id long, idx long, score double"
-COUNTED = "term string, shard int, ids array<long>, tfs array<int>, lens array<int>"
+COUNTED = "term string, shard long, ids array<long>, tfs array<int>, lens array<int>"
 TERMS = "term string, df long"
-BLOCKS = "term string, shard int, n int, top double, ids array<long>, gains array<double>"
+BLOCKS = "term string, shard long, n int, top double, ids array<long>, gains array<double>"
 
 
 def bm25_tokens(c):
@@ -115,12 +115,12 @@ class KeywordIndex:
         only the terms of the frame `only` (term); frequencies and statistics are those of all terms in any case.
         """
         spark = docs.sparkSession
-        shards = docs.count() // shard_docs + 1
-        shard = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(shards)).cast("int")
+        # A shard is a stretch of rows of one task, so a batch of documents belongs to one or two shards and its lists stay long.
+        shard = F.floor(F.monotonically_increasing_id() / shard_docs)
         tokens = docs.filter(F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("idx"), shard.alias("shard"), bm25_tokens(F.col(text)).alias("tokens"))
         counted = stored(tokens.mapInArrow(_count, COUNTED), "counts")
         total = F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda s, x: s + x))
-        n_docs, length = counted.filter(F.col("term") == EVERY).agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)), total).head()
+        n_docs, length, shards = counted.filter(F.col("term") == EVERY).agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)), total, F.count_distinct("shard")).head()
         avg_len = length / n_docs if n_docs else None
         terms = stored(counted.filter(F.col("term") != EVERY).groupBy("term").agg(F.sum(F.size("ids")).alias("df")), "terms")
         mean_idf = terms.agg(F.avg(bm25_idf(F.lit(n_docs), F.col("df")))).head()[0]
