@@ -1,7 +1,7 @@
 """Text classifiers on MLlib: features, training, ranking, validation, prediction."""
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer,
                                 SQLTransformer, StringIndexer)
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +12,7 @@ from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators import metrics
 from textsignal.operators.splits import stratified_split
+from textsignal.operators.svm import SquaredHingeSVM
 from textsignal.sources.writers import stored
 
 BOW, TFIDF = "bow", "tfidf"
@@ -42,9 +43,8 @@ def logistic_regression(n_rows, strength=1.0, max_iter=1000):
                               standardization=False)
 
 
-def linear_svm(n_rows, max_iter=2000):
-    return OneVsRest(classifier=LinearSVC(maxIter=max_iter, tol=1e-4, regParam=1.0 / n_rows, standardization=False),
-                     parallelism=4)
+def linear_svm(strength=1.0, max_iter=2000):
+    return SquaredHingeSVM(strength=strength, max_steps=max_iter)
 
 
 def random_forest(trees=200, max_depth=30, seed=config.SEED):
@@ -57,7 +57,7 @@ def build_models(n_rows, trees=200, max_depth=30):
     return {
         "BoW + LogReg": (BOW, 2, logistic_regression(n_rows)),
         "TF-IDF + LogReg": (TFIDF, 2, logistic_regression(n_rows)),
-        "TF-IDF + SVM": (TFIDF, 2, linear_svm(n_rows)),
+        "TF-IDF + SVM": (TFIDF, 2, linear_svm()),
         "TF-IDF + RF": (TFIDF, 1, random_forest(trees, max_depth)),
     }
 
