@@ -4,6 +4,7 @@ from functools import reduce
 from pyspark.sql import functions as F, types as T
 
 from textsignal.functions import text as X
+from textsignal.sources.csv_splits import read_split_csv
 
 FORUM_SCHEMA = T.StructType([T.StructField("post", T.StringType()), T.StructField("label", T.StringType())])
 STRESS_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
@@ -14,9 +15,16 @@ POST_SCHEMA = T.StructType([
 
 
 def read_csv(spark, path, schema, na_columns=()):
-    """CSV with header, quoted line breaks and a fixed schema; chosen columns get NA spellings nulled."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').csv(path))
+    """CSV with header, quoted line breaks and a fixed schema; chosen columns get NA spellings nulled.
+
+    Spark's own reader gives a file with quoted line breaks to one task. That serves files up to the size of a split; larger ones are read by splits.
+    """
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).head()[0] or 0   # lists the files without opening them
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if largest > split:
+        df = read_split_csv(spark, path, schema)
+    else:
+        df = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return df.withColumns({c: X.null_if_na(F.col(c)) for c in na_columns})
 
 
