@@ -1,8 +1,11 @@
+import random
+
+import porter
 import pytest
 from pyspark.sql import functions as F
 
 from textsignal import vocab
-from textsignal.functions import text as X, vectors as V
+from textsignal.functions import stemming, text as X, vectors as V
 from textsignal.functions.stemming import stem
 from textsignal.operators import ingest, rows, tokens as TK
 from textsignal.operators.bounds import local_table
@@ -81,15 +84,27 @@ def test_na_spellings(spark):
     assert [value(spark, X.null_if_na, s) for s in ("", "nan", "NA", "ok", None)] == [None, None, None, "ok", None]
 
 
-@pytest.mark.parametrize("word, expected", [
+STEMS = [
     ("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"),
     ("motoring", "motor"), ("sing", "sing"), ("conflated", "conflat"), ("hopping", "hop"), ("falling", "fall"), ("filing", "file"),
     ("happy", "happi"), ("relational", "relat"), ("rational", "ration"), ("digitizer", "digit"), ("hopefulness", "hope"),
     ("triplicate", "triplic"), ("electrical", "electr"), ("adjustable", "adjust"), ("adoption", "adopt"), ("effective", "effect"),
     ("probate", "probat"), ("rate", "rate"), ("cease", "ceas"), ("controll", "control"), ("roll", "roll"), ("is", "is"),
-])
-def test_stem(word, expected):
-    assert stem(word) == expected
+]
+
+
+def test_stems(spark):
+    """A literal table; then words of all endings against the plain form of the algorithm."""
+    words = spark.createDataFrame(STEMS, "word string, stem string")
+    assert words.filter(stem(F.col("word")) != F.col("stem")).collect() == []
+    ends = [s for s, _ in stemming.STEP_2 + stemming.STEP_3] + stemming.STEP_4 + ["s", "sses", "ies", "ed", "eed", "ing", "y", "yy", "e", "ll", ""]
+    rng = random.Random(3)
+    made = ["".join(rng.choice("aeiouybclstwxz") for _ in range(rng.randrange(0, 7))) + rng.choice(ends) + rng.choice(["", "", rng.choice(ends)]) for _ in range(20_000)]
+    made += ["", "Y", "yyyy", "sky's", "ÉTÉS", "naïvely", "a\nb\ning", "\n", "İing", "漢字ing"]
+    got = spark.createDataFrame([(made,)], "words array<string>").select(stemming.stems(F.col("words")).alias("s")).head()["s"]
+    assert [(w, g) for w, g in zip(made, got) if g != porter.stem(w)] == []
+    odd = spark.createDataFrame([(["hopes", None],), ([],), (None,)], "words array<string>").select(stemming.stems(F.col("words")).alias("s"))
+    assert [r["s"] for r in odd.collect()] == [["hope", None], [], None]
 
 
 def test_stem_counts(spark):

@@ -1,6 +1,5 @@
 """Token tables: explode, vocabulary joins, lemmas, parts of speech, stems."""
-import pandas as pd
-from pyspark.sql import Window as W, functions as F, types as T
+from pyspark.sql import Window as W, functions as F
 
 from textsignal import vocab
 from textsignal.functions import text as X
@@ -51,24 +50,13 @@ def adjectives_and_nouns(df, id_col, lexicon, tokens="tokens", function_words=vo
     return found.select(id_col, F.array_compact(tagged).alias(tokens))
 
 
-@F.pandas_udf(T.StringType())
-def _stem_words(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
 def stem_vocabulary(tokens_df):
     """(token, stem) for each distinct token, so that a word is stemmed once and not once per use."""
-    return tokens_df.select("token").distinct().withColumn("stem", _stem_words("token"))
+    return tokens_df.select("token").distinct().withColumn("stem", stem(F.col("token")))
 
 
 def stem_counts(tokens_df):
-    """Uses per stem. Tokens are counted first, so only the vocabulary reaches Python."""
+    """Uses per stem. Tokens are counted first, so each word is stemmed once."""
     counts = tokens_df.groupBy("token").count()
-    return (counts.withColumn("stem", _stem_words("token"))
+    return (counts.withColumn("stem", stem(F.col("token")))
             .groupBy("stem").agg(F.sum("count").alias("n"), F.count("*").alias("n_forms")))
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_array(tokens: pd.Series) -> pd.Series:
-    """Stem whole token arrays, for small tables such as summaries."""
-    return tokens.map(lambda ws: None if ws is None else [stem(w) for w in ws])

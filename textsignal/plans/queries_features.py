@@ -363,7 +363,14 @@ def rougeL(spark, d):
     return _rounded(R.rouge_l(t, "pair_id"), "rougeL")
 
 
-@query()
+_STEMMED = "list_transform({0}, lambda x: CASE WHEN length(x) > 3 THEN m[x] ELSE x END) AS {0}"
+STEMMED_PAIRS = f"""{PAIRS.replace('pairs AS', 'plain AS', 1)}, v AS (SELECT unnest(gen || ref) AS token FROM plain), {S.stems('v')},
+by_word AS (SELECT map(list(token), list(stem)) AS m FROM stemmed), pairs AS (SELECT pair_id, {_STEMMED.format('gen')}, {_STEMMED.format('ref')} FROM plain, by_word)"""
+
+
+@query(f"""WITH RECURSIVE {STEMMED_PAIRS}, {LCS}, r1 AS (SELECT * FROM (WITH {_rouge_sql('gen', 'ref', 'rouge1')})),
+r2 AS (SELECT * FROM (WITH {_rouge_sql(S.bigrams('gen'), S.bigrams('ref'), 'rouge2')}))
+SELECT pair_id, rouge1, rouge2, "rougeL" FROM r1 JOIN r2 USING (pair_id) JOIN rl USING (pair_id)""")
 def rouge_stemmed(spark, d):
     return _rounded(R.rouge(_pairs(spark, d), "pair_id"), "rouge1", "rouge2", "rougeL")
 

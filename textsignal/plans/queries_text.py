@@ -135,7 +135,8 @@ def adj_noun_tokens_in_row(spark, d):
     return bind(_word_tokens(spark, d), _kept=kept).select("doc_id", F.array_join("_kept", " ").alias("tokens_adj_noun"))
 
 
-@query()
+@query(f"""WITH c AS (SELECT unnest({S.tokens(S.deep(I.SQL_NOISY))}) AS token FROM documents), v AS (SELECT token, count(*) AS n FROM c GROUP BY token), {S.stems('v')}
+SELECT stem, sum(n)::BIGINT AS n, count(*) AS n_forms FROM v JOIN stemmed USING (token) GROUP BY stem""")
 def stem_counts(spark, d):
     return TK.stem_counts(TK.explode_tokens(_word_tokens(spark, d), "doc_id"))
 
