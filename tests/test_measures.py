@@ -258,3 +258,25 @@ def test_code_search_without_rows(spark, vectors):
     none = df.filter("idx > 1000")
     assert CO.CodeIndex.build(none).search(queries_of(spark, m, [1])).count() == 0
     assert CO.CodeIndex.build(df).search(queries_of(spark, m, [1]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("at_least", [0.05, 0.3, 0.7, 0.95, 1.0])
+def test_similar_groups_lose_no_pair(spark, at_least):
+    """Against all cosines; equal groups, a group alone, one without weight."""
+    rng = np.random.default_rng(8)
+    table = rng.random((25, 60)) * (rng.random((25, 60)) < .25) * np.exp(rng.normal(size=60))
+    table[4], table[9], table[11] = table[3], table[3] + .02, 0
+    rows_ = [(int(g), f"w{t:02}", float(w)) for (g, t), w in np.ndenumerate(table) if w] + [(11, "w00", 0.0), (99, "own", 1.0), (None, "w01", 1.0)]
+    got = {(r["a"], r["b"]): r["similarity"] for r in T.similar_groups(spark.createDataFrame(rows_, "g int, term string, weight double"), "g", at_least).collect()}
+    unit = table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
+    cos = unit @ unit.T
+    want = {(a, b): round(cos[a, b], 9) for a in range(25) for b in range(a + 1, 25) if round(cos[a, b], 9) >= at_least}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 2e-9 for p in want)
+    assert (3, 4) in got
+
+
+def test_similar_groups_of_nothing(spark):
+    empty = spark.createDataFrame([], "g int, term string, weight double")
+    assert T.similar_groups(empty, "g", .5).count() == 0
+    with pytest.raises(ValueError):
+        T.similar_groups(empty, "g", 0.0)
