@@ -12,6 +12,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from textsignal.llm import balltree, bpe, decontaminate, licenses, pages, pii, quality, secrets, simhash, suffixes
 from textsignal.llm import queries as Q
 
@@ -407,6 +409,36 @@ def test_secret_structures():
     assert list(secrets.tokens("eyJ" * 500_000)) == []  # linear time
 
 
+def test_secret_keys_at_any_place():
+    """Keys glued to other characters or broken over lines, at every alignment; armour alone is none; spans are exact."""
+    private = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a\x86\x48") + tlv(5, b"")) + tlv(4, bytes(range(200))))
+    public = tlv(0x30, tlv(0x30, tlv(6, b"\x2a\x03")) + tlv(3, bytes(range(33))))
+    for key in (private, public):
+        body, hexed = base64.b64encode(key).decode(), key.hex()
+        lines = "\n".join(body[i:i + 64] for i in range(0, len(body), 64))
+        for before in ("path/", "id-", "x_", "a", "ab", "abc", "MII", "M", "key: ", "é🎉 "):
+            for written in (body, lines, lines.replace("\n", "\r\n  "), hexed.upper(), "\n".join(hexed[i:i + 60] for i in range(0, len(hexed), 60))):
+                text = f"{before}{written} end"
+                assert [x for x in secrets.find(text) if x[1] == "key"] == [(len(before), "key", len(before) + len(written))], (before, written)
+        assert [k for _, k, _ in secrets.find("0" + hexed)] == ["hex", "key"]
+    assert secrets.find("-----BEGIN PRIVATE KEY-----\nAAAA\n-----END PRIVATE KEY-----") == []
+    armoured = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(private).decode()}-----END PRIVATE KEY-----"
+    assert (0, "key", len(armoured)) in secrets.find(armoured) and len([x for x in secrets.find(armoured) if x[1] == "key"]) == 1
+    twice = base64.b64encode(public).decode() + " " + base64.b64encode(private).decode()
+    assert len([x for x in secrets.find(twice) if x[1] == "key"]) == 2
+    assert [x for x in secrets.find("a/" + base64.b64encode(private[:-3]).decode()) if x[1] == "key"] == []
+    for text in ("MII" * 70_000, "MIIC" * 50_000, "30" * 100_000, "3082" * 50_000, "MA" * 100_000):
+        assert [x for x in secrets.find(text) if x[1] == "key"] == []  # linear time
+
+
+def test_secrets_of_odd_rows(spark, odd):
+    clashing = odd.withColumn("secrets", F.lit("mine"))
+    out = secrets.scan(clashing)
+    assert out.columns == clashing.columns and Counter(map(str, out.drop("secrets").collect())) == Counter(map(str, odd.collect()))
+    assert all([tuple(x) for x in r.secrets] == secrets.find(r.text) for r in out.collect())
+    assert secrets.scan(odd.limit(0)).count() == 0
+
+
 # 9: fingerprints
 
 def plain_print(text):

@@ -5,6 +5,7 @@ when they hold a key encoding whose nested lengths add up, or a signed token who
 """
 import base64
 import binascii
+import bisect
 import json
 import re
 
@@ -26,6 +27,15 @@ TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]{0,40}KEY-----")
 HEX_BYTES = re.compile(r"[0-9A-Fa-f]{64,}")
+# Where a DER sequence may start in base64 or hex, wherever the run around it starts; lines of it may be broken and indented.
+START_64 = re.compile(r"M[A-P][A-Za-z0-9+/_-]{2}")
+START_HEX = re.compile(r"30[0-8][0-9A-Fa-f]")
+RUN_64 = re.compile(r"[A-Za-z0-9+/_-]+")
+RUN_HEX = re.compile(r"[0-9A-Fa-f]+")
+PADDING = re.compile(r"={0,2}")
+BREAK = re.compile(r"\r?\n[\x20\t]{0,8}")
+MAX_INSIDE = 1 << 16   # bytes of a key that begins inside a run, so that crafted lengths cost bounded time; a key that is a run of its own has no bound
+HEAD_BYTES = 18   # enough for the outer header and that of the first element
 FOUND = ("key", "ssh", "token")
 KINDS = BASE + FOUND
 MAX_DEPTH = 12
@@ -67,6 +77,45 @@ def is_key_der(data):
     return inner[0] == (0x02, 1) or inner[0][0] == 0x30 and inner[1][0] in (0x03, 0x04)
 
 
+def _take(text, at, n, run):
+    """End of the first `n` characters of the class of `run` from `at` on, over line breaks, or None if there are fewer."""
+    while True:
+        found = run.match(text, at, at + n)
+        if found is None:
+            return None
+        if found.end() - at == n:
+            return found.end()
+        n, at = n - (found.end() - at), found.end()
+        at = gap.end() if (gap := BREAK.match(text, at)) else len(text)
+
+
+def _der_size(head):
+    """Bytes of the sequence that starts with `head`, if its first element is a version number or a sequence."""
+    outer = _tlv(head, 0, 1 << 32)
+    if outer is None or outer[0] != 0x30 or not 24 <= outer[2] <= MAX_INSIDE or outer[1] + 2 > len(head):
+        return None
+    first = _tlv(head, outer[1], outer[2])
+    return outer[2] if first and (first[0] == 0x30 or first[0] == 0x02 and first[2] - first[1] == 1) else None
+
+
+def keys(text, start, run, chars, decode):
+    """(start, end) of DER keys at any place of a run of encoded characters; `chars` tells how many encode n bytes.
+    A place is decoded in full only after its first bytes look like a key."""
+    at = 0
+    while found := start.search(text, at):
+        at = found.start() + 1
+        head_end = _take(text, found.start(), chars(HEAD_BYTES), run)
+        size = head_end and _der_size(decode(text[found.start():head_end]) or b"")
+        end = size and _take(text, found.start(), chars(size), run)
+        if end and is_key_der((decode(text[found.start():end]) or b"")[:size]):
+            yield found.start(), end
+            at = end
+
+
+def _unhex(text):
+    return bytes.fromhex(text)
+
+
 def is_ssh(data):
     """True for an OpenSSH private key, or length-prefixed fields that fill the data and start with a key type."""
     at = 15 if data.startswith(b"openssh-key-v1\0") else 0
@@ -122,6 +171,20 @@ def tokens(text):
         at = text.find("eyJ", found.end() if found else run.end() if run else at + 3)
 
 
+def outside(spans, others):
+    """Those of `others` that share no character with one of the spans."""
+    cover = []
+    for start, end in sorted(spans):
+        if cover and start < cover[-1][1]:
+            cover[-1][1] = max(cover[-1][1], end)
+        else:
+            cover.append([start, end])
+    for start, end in others:
+        near = bisect.bisect_left(cover, [end, 0]) - 1   # the last stretch that starts before the end
+        if near < 0 or cover[near][1] <= start:
+            yield start, end
+
+
 def find(text):
     """(start, kind, end) of every span, by start and then by kind as listed in KINDS. Null text has none."""
     text = text or ""
@@ -132,8 +195,8 @@ def find(text):
     for m in ARMOUR.finditer(text):
         data = decode64(m[2])
         kind = data is not None and structure(data)
-        if kind or "PRIVATE" in m[1] and data:
-            more.add((m.start(), KINDS.index(kind or "key"), m.end()))
+        if kind:
+            more.add((m.start(), KINDS.index(kind), m.end()))
     more.update((s, KINDS.index("token"), e) for s, e in tokens(text) if is_token(text[s:e]))
     for m in ENCODED.finditer(text):
         kind = (data := decode64(m[0])) and structure(data)
@@ -143,6 +206,9 @@ def find(text):
         kind = structure(bytes.fromhex(m[0][:len(m[0]) // 2 * 2]))
         if kind:
             more.add((m.start(), KINDS.index(kind), m.end()))
+    whole = [(s, e) for s, k, e in more if KINDS[k] != "token"]
+    inside = [*keys(text, START_64, RUN_64, lambda n: -(-n * 4 // 3), decode64), *keys(text, START_HEX, RUN_HEX, lambda n: 2 * n, _unhex)]
+    more.update((s, KINDS.index("key"), e) for s, e in outside(whole, ((s, PADDING.match(text, e).end()) for s, e in inside)))
     return [(s, KINDS[k], e) for s, k, e in sorted(spans + list(more))]
 
 
