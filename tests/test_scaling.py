@@ -1,9 +1,10 @@
 """Work that must not be repeated or grow faster than the input."""
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import embeddings as EM, topics as T
+from textsignal.operators import embeddings as EM, lda as LDA, topics as T
 
 
 def test_packed_pairs_come_back():
@@ -41,3 +42,17 @@ def test_document_vectors_are_made_once_for_their_clusters(spark):
     vectors = spark.range(100).mapInPandas(make, "id long, embedding array<double>")
     assert T.cluster_documents(vectors, "id", k=3, dims=2).count() == 100
     assert made.value == 100
+
+
+def test_topic_parts_are_fitted_in_stretches(spark, monkeypatch):
+    """A large part gives the same sums whether its documents are fitted together or in stretches."""
+    rng = np.random.default_rng(2)
+    lists = [sorted(rng.choice(40, rng.integers(1, 9), replace=False).tolist()) for _ in range(30)]
+    left = pa.table([pa.array([0] * 30), pa.array(lists, pa.list_(pa.int64())), pa.array([[1 + c % 3 for c in l] for l in lists], pa.list_(pa.int32()))], names=["_part", "codes", "n"])
+    right = pa.table([pa.array(np.arange(40)), *[pa.array(rng.random(40) + 0.5) for _ in range(3)]], names=["code", "s0", "s1", "s2"])
+    found = []
+    for size in (512, 7):
+        monkeypatch.setattr(LDA, "TOGETHER", size)
+        rows = LDA._fit_part(["s0", "s1", "s2"], np.full(3, 1 / 3), np.zeros(3))(left, right).to_pylist()
+        found.append({(r["code"], c): r[c] for r in rows for c in ("s0", "s1", "s2", "docs")})
+    assert found[0] == pytest.approx(found[1]) and found[0][None, "docs"] == 30
