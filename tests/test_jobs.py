@@ -155,6 +155,16 @@ def test_word_vectors_factor_the_information_matrix(spark, part_rows, block_pair
     assert documents[70] == pytest.approx(mean / np.linalg.norm(mean), abs=1e-5) and not any(documents[902]) and len(documents) == len(texts)
 
 
+def test_word_vectors_are_asked_for_by_few_blocks(spark, monkeypatch):
+    """Long vectors go to tasks in slices, so that their blocks are as large as those of short ones and few of them ask for the same word."""
+    rng, kept = np.random.default_rng(3), {}
+    texts = [(i, [f"w{int(w)}" for w in 600 * rng.random(40) ** 2]) for i in range(400)]
+    monkeypatch.setattr(EM, "stored", lambda df, name: kept.setdefault(name, []).append(made := writers.stored(df, name)) or made)
+    vectors = EM.train_word_vectors(spark.createDataFrame(texts, "id long, tokens array<string>"), size=300, block_pairs=8_000)
+    words, asked = vectors.count(), kept["needed"][0].count()
+    assert words > 500 and asked < 4 * words and {len(r.v) for r in vectors.select("v").collect()} == {300}
+
+
 def test_own_encoder(spark, corpus):
     out = EM.encode_with(corpus, "post_id", "text", lambda: lambda texts: [[t.count("a"), t.count("i") + 1] for t in texts], 7)
     assert out.count() == 200 and sum(x * x for x in out.head()["embedding"]) == pytest.approx(1)
