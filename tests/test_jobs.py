@@ -1,4 +1,6 @@
 """Whole stages, streams and trained models, on small tables."""
+import threading
+
 import pytest
 import numpy as np
 from pyspark.sql import functions as F
@@ -86,6 +88,23 @@ def test_models_are_ranked_saved_and_used(spark, tmp_path, corpus):
     assert first[0]["probability"] >= first[1]["probability"] and sum(p["probability"] for p in first) == pytest.approx(1, abs=.001)
 
 
+def test_models_are_fitted_side_by_side(spark, corpus):
+    """Two models that wait for each other; the forest keeps the nodes of its rows between passes."""
+    both = threading.Barrier(2)
+
+    class Waiting:
+        def setLabelCol(self, name):
+            return self
+
+        def fit(self, data):
+            both.wait(60)
+            return C.logistic_regression(170).setLabelCol("label_code").fit(data)
+
+    scores, preds, fitted, best = C.train_and_rank(corpus, "text", "label", "post_id", models={"a": (C.BOW, 1, Waiting()), "b": (C.BOW, 1, Waiting())})
+    assert best == "a" and list(fitted) == ["a", "b"] and preds.count() == 2 * 30 and scores.count() == 2
+    assert C.random_forest().getCacheNodeIds()
+
+
 def test_tfidf_features_have_unit_length(spark, corpus):
     from pyspark.ml.functions import vector_to_array
     model = C.fit_features(corpus, "text")

@@ -1,5 +1,7 @@
 """Text classifiers on MLlib: features, training, ranking, validation, prediction."""
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer,
@@ -48,7 +50,8 @@ def linear_svm(strength=1.0, max_iter=2000):
 
 
 def random_forest(trees=200, max_depth=30, seed=config.SEED):
-    return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024)
+    # Rows remember their nodes; otherwise every pass sends the whole forest out and walks it from the roots.
+    return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def build_models(n_rows, trees=200, max_depth=30):
@@ -90,14 +93,18 @@ def train_and_rank(df, text, label, id_col, test_size=config.TEST_SIZE, models=N
     indexer = fit_labels(train, label)
     specs = models or build_models(train.count(), trees, max_depth)
     fitted, preds, features = {}, [], {}
-    for name, (kind, ngram, classifier) in specs.items():
+    for kind, ngram, _ in specs.values():
         if (kind, ngram) not in features:
             stage = fit_features(train, text, kind, ngram)
             data = indexer.transform(stage.transform(train)).select("features", "label_code")
             features[kind, ngram] = stage, data.persist(StorageLevel.MEMORY_AND_DISK)
-        stage, data = features[kind, ngram]
-        head = classifier.setLabelCol("label_code").fit(data)
-        fitted[name] = PipelineModel(stages=[*stage.stages, head])
+            data.count()
+    # A fit is hundreds of short jobs that leave cores idle, so the models are fitted side by side; none depends on another.
+    fit = inheritable_thread_target(df.sparkSession)(lambda spec: spec[2].setLabelCol("label_code").fit(features[spec[0], spec[1]][1]))
+    with ThreadPool(len(specs)) as pool:
+        heads = pool.map(fit, specs.values(), chunksize=1)
+    for (name, (kind, ngram, _)), head in zip(specs.items(), heads):
+        fitted[name] = PipelineModel(stages=[*features[kind, ngram][0].stages, head])
         preds.append(predictions(fitted[name], test, id_col, label, indexer.labels, name))
     for _, data in features.values():
         data.unpersist()
