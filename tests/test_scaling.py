@@ -56,3 +56,21 @@ def test_topic_parts_are_fitted_in_stretches(spark, monkeypatch):
         rows = LDA._fit_part(["s0", "s1", "s2"], np.full(3, 1 / 3), np.zeros(3))(left, right).to_pylist()
         found.append({(r["code"], c): r[c] for r in rows for c in ("s0", "s1", "s2", "docs")})
     assert found[0] == pytest.approx(found[1]) and found[0][None, "docs"] == 30
+
+
+def test_packed_documents_come_back_and_fit_as_lists_do():
+    """Documents of a topic model travel as a byte or two for each term, not as twelve."""
+    rng = np.random.default_rng(3)
+    places = [np.sort(rng.choice(5_000, rng.integers(1, 300), replace=False)) for _ in range(200)]
+    start, place = np.append(0, np.cumsum([len(x) for x in places])), np.concatenate(places)
+    n = rng.integers(1, 4, len(place))
+    bag = LDA._packed(start, place, n)
+    assert [c.tolist() for c in LDA._unpacked(bag)] == [start.tolist(), place.tolist(), n.tolist()]
+    assert len(bag) < 3 * len(place)
+    right = pa.table([pa.array(np.arange(5_000) * 7), *[pa.array(rng.random(5_000) + 0.5) for _ in range(2)]], names=["code", "s0", "s1"])
+    lists = pa.table([pa.array([4] * 200), pa.array([(x * 7).tolist() for x in places], pa.list_(pa.int64())), pa.array([n[a:b].tolist() for a, b in zip(start, start[1:])], pa.list_(pa.int32()))], names=["_part", "codes", "n"])
+    packed = pa.table([pa.array([4]), pa.array([bag], pa.binary())], names=["_part", "bag"])
+    fit = LDA._fit_part(["s0", "s1"], np.full(2, 0.5), np.zeros(2))
+    one, other = fit(lists, right).to_pydict(), fit(packed, right).to_pydict()
+    assert one["code"] == other["code"] and set(other["_part"]) == {4} and other["docs"][-1] == 200
+    assert all(one[c] == pytest.approx(other[c]) for c in ("s0", "s1"))
