@@ -1,4 +1,6 @@
 """Counting terms and weighting them."""
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window as W, functions as F
 
 from textsignal import config
@@ -16,11 +18,18 @@ def distinct_values(df, col):
     return df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
-def term_counts(df, id_col, terms="terms"):
-    """(id, term, tf). Rows are hashed by id first: counting here, and every later sum or window per id,
-    then shares this one exchange."""
-    hashed = df.select(id_col, F.col(terms).alias("_terms")).repartition(F.col(id_col))
-    return (unnest(hashed, [id_col], "_terms", "term")
+def hashed_texts(df, id_col, text, chars=config.HASHED_CHARS):
+    """(id, text) hashed by id into parts of about `chars` characters, so that a task holds the terms of no more than these."""
+    total = df.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).head()[0]
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, total // chars + 1)
+    return df.select(id_col, text).repartition(parts, F.col(id_col))
+
+
+def term_counts(df, id_col, terms="terms", hashed=False):
+    """(id, term, tf). Rows are hashed by id first, unless they are already (`hashed`), as texts that are cut into terms
+    only then: counting here, and every later sum or window per id, then shares this one exchange."""
+    rows = df.select(id_col, F.col(terms).alias("_terms"))
+    return (unnest(rows if hashed else rows.repartition(F.col(id_col)), [id_col], "_terms", "term")
             .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
 
@@ -47,11 +56,29 @@ def top_terms(counts, n=config.MAX_FEATURES):
     return _first_terms(counts, "cf", n)
 
 
+def _first_of_task(by, n):
+    """Task function: the first n terms by count, then name, among the rows of a task, cut again whenever they have piled up."""
+    def cut(rows):
+        return rows.take(pc.sort_indices(rows, [(by, "descending"), ("term", "ascending")])[:n]).combine_chunks()
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if held.num_rows > 4 * n + 10_000:
+                held = cut(held)
+        if held is not None:
+            yield from cut(held).to_batches()
+    return run
+
+
 def _first_terms(counts, by, n, parts=64):
-    """First n terms by count, then name. Hash parts are cut to n each before the final sort, so the task
-    that orders the result sees a fixed number of rows and not the whole vocabulary."""
+    """First n terms by count, then name. Tasks, then hash parts, are cut to n each before the final sort, so the whole
+    vocabulary is not moved and the task that orders the result sees a fixed number of rows."""
     if n is None:
         return counts
+    counts = counts.mapInArrow(_first_of_task(by, n), counts.schema)
     part = F.pmod(F.xxhash64("term"), F.lit(parts))
     rank = F.row_number().over(W.partitionBy("_part").orderBy(F.desc(by), "term"))
     cut = counts.withColumn("_part", part).withColumn("_r", rank).filter(F.col("_r") <= n).drop("_part", "_r")
@@ -80,13 +107,13 @@ def bag_of_words(df, id_col, vocabulary, terms="terms"):
     return term_counts(df, id_col, terms).join(vocabulary.select("term"), "term", "left_semi")
 
 
-def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES):
+def tfidf(df, id_col, terms="terms", max_features=config.MAX_FEATURES, hashed=False):
     """(id, term, tf, weight): smooth idf, rows of unit length, vocabulary cut to the most used terms, or whole with None.
 
     The vocabulary is counted from the same per-document counts, so both branches start from one
-    exchange and the text is tokenised once.
+    exchange and the text is tokenised once. With `hashed` the rows are hashed by id already.
     """
-    tf = term_counts(df, id_col, terms)
+    tf = term_counts(df, id_col, terms, hashed)
     stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     vocabulary = (top_terms(stats, max_features)
                   .withColumn("idf", smooth_idf(document_count(df), F.col("df"))).select("term", "idf"))

@@ -59,7 +59,9 @@ SELECT doc_id, term, tf, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_
 
 
 def _weights(spark, d, n):
-    return FE.tfidf(_grams(spark, d, n), "doc_id").withColumn("weight", F.round("weight", 6))
+    # Texts are hashed by id, not the n-grams that are made of them.
+    hashed = FE.hashed_texts(spark.read.parquet(f"{d}/documents.parquet"), "doc_id", "text")
+    return FE.tfidf(FE.with_terms(hashed, "text", n).select("doc_id", "terms"), "doc_id", hashed=True).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"WITH {BI}, {STATS}{TFIDF_SQL}")
