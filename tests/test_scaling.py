@@ -4,7 +4,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import embeddings as EM, lda as LDA, topics as T
+from textsignal.operators import embeddings as EM, features as FE, lda as LDA, summarize as SU, topics as T
+from textsignal.operators.packing import pack, unpack
 
 
 def test_packed_pairs_come_back():
@@ -74,3 +75,59 @@ def test_packed_documents_come_back_and_fit_as_lists_do():
     one, other = fit(lists, right).to_pydict(), fit(packed, right).to_pydict()
     assert one["code"] == other["code"] and set(other["_part"]) == {4} and other["docs"][-1] == 200
     assert all(one[c] == pytest.approx(other[c]) for c in ("s0", "s1"))
+
+
+def _made(spark, schema, make):
+    """A frame that is made in Python, and a counter of the times it was."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield make(frame)
+    return spark.range(40).mapInPandas(run, schema), made
+
+
+def test_class_weights_read_the_texts_once(spark):
+    df, made = _made(spark, "g string, tokens array<string>", lambda f: f[[]].assign(g=[f"g{i % 4}" for i in f["id"]], tokens=[["same", f"w{i % 4}", f"x{i % 2}"] for i in f["id"]]))
+    pairs = T.similar_groups(T.class_tfidf(df, "g"), "g", 0.1)
+    assert {(r.a, r.b) for r in pairs.collect()} >= {("g0", "g2"), ("g1", "g3")}
+    assert made.value == 40
+
+
+def test_ngrams_are_made_after_texts_are_hashed(spark):
+    rows = [(i, f"alpha beta word{i} " + "gamma " * (i % 5)) for i in range(200)] + [(7, "alpha beta"), (None, "beta beta"), (9, None)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    hashed = FE.hashed_texts(df, "id", "text", chars=100)
+    assert hashed.rdd.getNumPartitions() > 30
+    weights = lambda d, **more: {(r.id, r.term): (r.tf, round(r.weight, 9)) for r in FE.tfidf(FE.with_terms(d, "text", 2).select("id", "terms"), "id", max_features=50, **more).collect()}
+    assert weights(hashed, hashed=True) == weights(df) != {}
+
+
+def test_first_terms_are_cut_in_the_tasks(spark):
+    counts = spark.range(5_000).select(F.concat(F.lit("t"), "id").alias("term"), (F.col("id") % 100).alias("cf"))
+    found = [r.term for r in FE.top_terms(counts, 60).collect()]
+    assert found == sorted(f"t{i}" for i in range(99, 5_000, 100)) + sorted(f"t{i}" for i in range(98, 5_000, 100))[:10]
+    cut = list(FE._first_of_task("cf", 3)([pa.RecordBatch.from_pydict({"term": list("abcdef"), "cf": [1, 5, 5, 5, 2, 9]})]))
+    assert [r["term"] for b in cut for r in b.to_pylist()] == ["f", "b", "c"]
+
+
+def test_summaries_move_texts_and_not_their_words(spark):
+    one = "Red cats sleep long. Blue dogs run far away. Red cats like blue dogs. Nobody knows the green bird. Red cats sleep all day."
+    other = "Small towns grow slowly here. Large towns grow quickly there. Towns need many good roads. Roads need many good bridges."
+    docs = spark.createDataFrame([(1, one), (2, other), (2, other), (3, None), (4, ""), (None, one), (5, "Just one sentence stands here.")], "id long, text string")
+    short = SU.extractive(docs, "id", "text", n=2)
+    assert "Window" not in short._jdf.queryExecution().toString()
+    near = SU.centroid(docs, "id", "text", n=2, min_words=1)
+    for rows, name in ((short, "extractive_summary"), (near, "centroid_summary")):
+        found = sorted(((r.id, r[name]) for r in rows.collect()), key=str)
+        assert len(found) == 7
+        by_id = dict(found)
+        assert by_id[5] == "Just one sentence stands here." and found.count((2, by_id[2])) == 2
+        assert by_id[None] == "Nobody knows the green bird. Red cats sleep all day."
+        assert by_id[2].count(".") == 2 and by_id[1].count(".") == 2
+
+
+def test_packed_numbers_come_back():
+    columns = [np.arange(5), np.zeros(0, "int64"), np.array([-3, 2**31 - 1])]
+    assert [c.tolist() for c in unpack(pack(*columns))] == [c.tolist() for c in columns]
