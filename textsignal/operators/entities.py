@@ -11,6 +11,8 @@ from textsignal.functions import text as X
 from textsignal.operators import dictionary
 from textsignal.operators.bounds import bind
 
+# Texts whose words a task holds as Python strings at once.
+TOGETHER = 128
 ENTITY = "array<struct<start:int,n_words:int,phrase:string,label:string>>"
 FOUND = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("phrase", pa.string()), ("label", pa.string())]))
 
@@ -86,9 +88,12 @@ def phrases_by_join(df, id_col, gazetteer, max_words=None, text="text_clean_deep
     def apply(batch, entries):
         pairs = sorted(zip(entries.column("phrase").to_pylist(), entries.column("label").to_pylist()), reverse=True)
         number, root = dictionary.phrase_trie(pairs)
-        found = [[{"start": i, "n_words": n, "phrase": " ".join(words[i:i + n]), "label": label} for i, n, label in dictionary.find_phrases(low, number, root)]
-                 for words, low in zip(batch.column("_words").to_pylist(), batch.column("_folded").to_pylist())]
-        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(found, FOUND)], names=[id_col, "found"])
+        found = [pa.array([], FOUND)]
+        for begin in range(0, batch.num_rows, TOGETHER):
+            some = batch.slice(begin, TOGETHER)
+            found.append(pa.array([[{"start": i, "n_words": n, "phrase": " ".join(words[i:i + n]), "label": label} for i, n, label in dictionary.find_phrases(low, number, root)]
+                                   for words, low in zip(some.column("_words").to_pylist(), some.column("_folded").to_pylist())], FOUND))
+        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.concat_arrays(found)], names=[id_col, "found"])
 
     per_post = dictionary.look_up(rows, "_folded", listed, apply, f"`{id_col}` {kind}, found {ENTITY}")
     return (per_post.filter(F.size("found") > 0).select(id_col, F.explode(_longest_first(F.col("found"))).alias("e"))
