@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import embeddings as EM, features as FE, lda as LDA, summarize as SU, topics as T
+from textsignal.operators import embeddings as EM, entities as EN, features as FE, keyword as K, lda as LDA, summarize as SU, topics as T
 from textsignal.operators.packing import pack, unpack
 
 
@@ -131,3 +131,32 @@ def test_summaries_move_texts_and_not_their_words(spark):
 def test_packed_numbers_come_back():
     columns = [np.arange(5), np.zeros(0, "int64"), np.array([-3, 2**31 - 1])]
     assert [c.tolist() for c in unpack(pack(*columns))] == [c.tolist() for c in columns]
+
+
+def test_keyword_counts_of_a_batch_are_made_in_stretches(monkeypatch):
+    """Lists stay as long as the batch, whatever the stretches; no stretch holds more tokens than asked for, or one document."""
+    rng = np.random.default_rng(5)
+    texts = [[f"w{x}" for x in rng.integers(0, 30, rng.integers(0, 60))] for _ in range(50)]
+    batch = pa.RecordBatch.from_pydict({"idx": np.arange(50) * 3, "shard": np.repeat([4, 5], 25), "tokens": pa.array(texts, pa.list_(pa.string()))})
+    monkeypatch.setattr(K, "TOKENS", 100)
+    cuts = list(K._cuts(np.array([len(t) for t in texts])))
+    assert len(cuts) > 5 and [i for i, _ in cuts[1:]] == [j for _, j in cuts[:-1]] and all(sum(map(len, texts[i:j - 1])) <= 100 for i, j in cuts)
+    few = [r for b in K._count([batch]) for r in b.to_pylist()]
+    monkeypatch.setattr(K, "TOKENS", 10**9)
+    assert few == [r for b in K._count([batch]) for r in b.to_pylist()]
+    assert sum(len(r["ids"]) for r in few if r["term"] == K.EVERY) == 50
+    rows = pa.RecordBatch.from_pylist(few, pa.schema([("term", pa.string()), ("shard", pa.int64()), ("ids", pa.list_(pa.int64())), ("tfs", pa.list_(pa.int32())), ("lens", pa.list_(pa.int32()))]))
+    whole = [r for b in K._post(1.5, 0.75, 30.0)([rows]) for r in b.to_pylist()]
+    monkeypatch.setattr(K, "TOKENS", 100)
+    parts = list(K._post(1.5, 0.75, 30.0)([rows.slice(0, 7), rows.slice(7)]))
+    assert len(parts) > 2 and [r for b in parts for r in b.to_pylist()] == whole
+
+
+def test_phrases_hold_the_words_of_few_texts(spark, monkeypatch):
+    table = spark.createDataFrame([("new york", "LOC"), ("york", "PER")], "phrase string, label string")
+    posts = spark.createDataFrame([(i, "in New York " * (i % 3) + "York") for i in range(20)], "id long, text string")
+    found = []
+    for size in (3, 1_000):
+        monkeypatch.setattr(EN, "TOGETHER", size)
+        found.append(sorted(map(tuple, EN.phrases_by_join(posts, "id", table, text="text").collect())))
+    assert found[0] == found[1] and len(found[0]) == sum(i % 3 + 1 for i in range(20))

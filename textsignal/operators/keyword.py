@@ -22,6 +22,8 @@ from textsignal.sources.writers import stored, write_table
 SCORE_DIGITS = 9
 # Scores are rounded before they are compared, so bounds are compared with this much room.
 ROOM = 1e-8
+# Tokens that are counted, and ids of posting rows that are weighed, at once.
+TOKENS = 500_000
 # Stands for all documents in the index; no token is empty.
 EVERY = ""
 HITS = "query_id long, idx long, score double"
@@ -47,6 +49,13 @@ def _starts(*columns):
     return np.concatenate([[0], np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], 0)) + 1])
 
 
+def _cuts(sizes):
+    """Stretches (i, j) of documents with about `TOKENS` tokens, or one document."""
+    part = (np.cumsum(sizes) - sizes) // TOKENS
+    begin = _starts(part)
+    return zip(begin, np.append(begin[1:], len(sizes)))
+
+
 def _count(batches):
     """Of a batch of documents, for each term and shard the documents with their counts and lengths."""
     for batch in batches:
@@ -56,11 +65,18 @@ def _count(batches):
         size = np.diff(tokens.offsets.to_numpy())
         coded = tokens.flatten().dictionary_encode()
         words = len(coded.dictionary) + 1
-        every = np.arange(len(idx)) * words + words - 1
-        key, tf = np.unique(np.concatenate([np.repeat(np.arange(len(idx)), size) * words + coded.indices.to_numpy(), every]), return_counts=True)
-        row, code = key // words, key % words
-        tf[code == words - 1] = 0
-        order = np.lexsort((shard[row], code))
+        # Some documents at a time: 4 + 4 + 4 bytes stay of each of their terms, not the arrays that the counts are made with.
+        index, ends, found = coded.indices.to_numpy(), np.append(0, np.cumsum(size)), []
+        del tokens
+        for i, j in _cuts(size):
+            at = np.concatenate([np.repeat(np.arange(i, j), size[i:j]) * words + index[ends[i]:ends[j]], np.arange(i, j) * words + words - 1])
+            key, tf = np.unique(at, return_counts=True)
+            tf[key % words == words - 1] = 0
+            found.append([c.astype("int32") for c in (key // words, key % words, tf)])
+        row, code, tf = (np.concatenate(c) for c in zip(*found))
+        del found, index
+        # Rows count up, and with them shards.
+        order = np.argsort(code, kind="stable")
         row, code, tf = row[order], code[order], tf[order]
         starts = _starts(code, shard[row])
         terms = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.array([EVERY])]).take(pa.array(code[starts]))
@@ -87,9 +103,12 @@ def _post(k1, b, avg_len):
             if not held.num_rows:
                 continue
             starts = _starts(held.column("term").dictionary_encode().indices.to_numpy(), held.column("shard").to_numpy())
-            if len(starts) > 1:
-                yield packed(held.slice(0, starts[-1]), starts[:-1])
-                held = held.slice(starts[-1])
+            # The last row may go on in the next batch.
+            size = np.diff(held.column("ids").offsets.to_numpy())
+            rows = np.add.reduceat(size, starts)[:-1]
+            for i, j in _cuts(rows) if len(rows) else ():
+                yield packed(held.slice(starts[i], starts[j] - starts[i]), starts[i:j] - starts[i])
+            held = held.slice(starts[-1])
         if held is not None and held.num_rows:
             yield packed(held, np.zeros(1, "int64"))
     return run
@@ -142,9 +161,11 @@ class _Shard:
     """Posting rows of one shard, with ids as places in the sorted ids of the shard."""
 
     def __init__(self, terms, ids, gains):
-        self.ids, place = np.unique(np.concatenate(ids), return_inverse=True)
-        ends = np.cumsum([len(i) for i in ids])
-        self.postings = {t: (place[e - len(i):e], g) for t, i, g, e in zip(terms, ids, gains, ends)}
+        # A term's ids differ; the ids of some terms at a time are added to those of the others.
+        self.ids = ids[0]
+        for i in range(0, len(ids), 64):
+            self.ids = np.unique(np.concatenate([self.ids, *ids[i:i + 64]]))
+        self.postings = {t: (np.searchsorted(self.ids, i).astype("int32"), g) for t, i, g in zip(terms, ids, gains)}
 
     def best(self, terms, weights, k, floor):
         """(id, score) of the k best documents at or above `floor`."""
