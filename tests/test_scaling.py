@@ -4,7 +4,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textsignal.operators import embeddings as EM, entities as EN, features as FE, keyword as K, lda as LDA, summarize as SU, topics as T
+from textsignal.functions import text as X
+from textsignal.operators import classify as C, embeddings as EM, entities as EN, features as FE, keyword as K, lda as LDA, summarize as SU, topics as T
 from textsignal.operators.packing import pack, unpack
 
 
@@ -160,3 +161,22 @@ def test_phrases_hold_the_words_of_few_texts(spark, monkeypatch):
         monkeypatch.setattr(EN, "TOGETHER", size)
         found.append(sorted(map(tuple, EN.phrases_by_join(posts, "id", table, text="text").collect())))
     assert found[0] == found[1] and len(found[0]) == sum(i % 3 + 1 for i in range(20))
+
+
+def test_texts_of_a_validated_fit_are_made_once(spark):
+    docs, made = _made(spark, "id long, text string, label string",
+                       lambda f: f[["id"]].assign(text=["good happy day" if i % 2 else "bad sad night" for i in f["id"]], label=["a" if i % 2 else "b" for i in f["id"]]))
+    _, report, label_map, _ = C.fit_with_validation(docs, "text", "label", "id", strengths=(1.0,))
+    assert report.count() > 2 and label_map.count() == 2
+    assert made.value == 40
+
+
+def test_contractions_are_split_as_whole_words(spark):
+    """The faster pattern finds what the plain one does."""
+    ends = ["", "x", " ", "-", "é", "_", "1", "\U0001D4B3", "\U0001F600", "\n", "cannot"]
+    rows = spark.createDataFrame([(a + w + b,) for w in ("cannot", "wanna") for a in ends for b in ends], "t string")
+    plain = F.col("t")
+    for w, l, r in (("cannot", "can", "not"), ("wanna", "wan", "na")):
+        plain = F.regexp_replace(plain, rf"(?<!{X.WORD}){w}(?!{X.WORD})", f"{l} {r}")
+    pairs = rows.select(X.split_contractions(F.col("t")), plain).collect()
+    assert all(a == b for a, b in pairs) and any(a == "can not" for a, _ in pairs)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators import metrics
+from textsignal.operators.bounds import bind
 from textsignal.operators.splits import stratified_split
 from textsignal.operators.svm import SquaredHingeSVM
 from textsignal.sources.writers import stored
@@ -142,10 +143,13 @@ def fit_with_validation(df, text, label, id_col, strengths=(10.0, 1.0, 0.1, 0.01
     Candidates run from strong to weak; the search stops after `patience` of them without gain.
     Returns (model, report on the test part, label map, choice table).
     """
-    usable = df.select(id_col, _model_text(text, max_tokens).alias(text), label) \
-        .na.drop(subset=[text, label])
+    # The split reads its rows three times, and texts are costly to make: once each, kept until the split is.
+    usable = bind(df.select(id_col, text, label), _text=_model_text(text, max_tokens)).select(id_col, F.col("_text").alias(text), label) \
+        .na.drop(subset=[text, label]).persist(StorageLevel.MEMORY_AND_DISK)
     parts = (stratified_split(usable, label, id_col, [("test", config.TEST_SIZE), ("val", config.VAL_SIZE)])
              .persist(StorageLevel.MEMORY_AND_DISK))
+    parts.count()
+    usable.unpersist()
     train, val, test = (parts.filter(F.col("split") == s) for s in ("train", "val", "test"))
     indexer = fit_labels(train, label)
     stage = fit_features(train, text)
