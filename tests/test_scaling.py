@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from textsignal.functions import text as X
 from textsignal.operators import classify as C, embeddings as EM, entities as EN, features as FE, keyword as K, lda as LDA, summarize as SU, topics as T
 from textsignal.operators.packing import pack, unpack
+from textsignal.sources import writers
 
 
 def test_packed_pairs_come_back():
@@ -180,3 +181,43 @@ def test_contractions_are_split_as_whole_words(spark):
         plain = F.regexp_replace(plain, rf"(?<!{X.WORD}){w}(?!{X.WORD})", f"{l} {r}")
     pairs = rows.select(X.split_contractions(F.col("t")), plain).collect()
     assert all(a == b for a, b in pairs) and any(a == "can not" for a, _ in pairs)
+
+
+def test_clusters_are_summarised_from_packed_parts(spark, monkeypatch):
+    """Sums over small parts and ranges give what one part gives; posts are made for their sentences and for their number, words move once for a part."""
+    made, kept = spark.sparkContext.accumulator(0), {}
+    subjects, verbs = ["Red cats", "Blue dogs", "Small towns", "Green birds", "Good roads"], ["sleep very long", "run far away", "grow slowly here", "never come back"]
+    texts = [" ".join(f"{subjects[(i * 3 + j * j) % 5]} {verbs[(i + j) % 4]} with word{i % 4}." for j in range(1 + i % 6)) for i in range(40)]
+
+    def make(frames):
+        for frame in frames:
+            made.add(len(frame))
+            i = frame["id"]
+            yield frame.assign(post=[None if x % 13 == 5 else x // 2 for x in i], text=["Too short." if x % 5 == 4 else None if x == 7 else texts[x // 2] for x in i], label=["abcde"[x % 5] if x % 11 else None for x in i])[["post", "text", "label"]]
+    df = spark.range(80).mapInPandas(make, "post long, text string, label string")
+    monkeypatch.setattr(SU, "stored", lambda df, name: kept.setdefault(name, []).append(out := writers.stored(df, name)) or out)
+    found = []
+    for tokens, pairs in ((10**9, 10**9), (60, 25)):
+        monkeypatch.setattr(SU, "TOKENS", tokens)
+        monkeypatch.setattr(SU, "PAIRS", pairs)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(tokens, 10_000) // 10)
+        found.append([tuple(r) for r in SU.summarize_clusters(df.coalesce(1), "label", "post", n=2).collect()])
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert kept["sums"][-1].filter("part < 0").count() == 1 if tokens > 60 else kept["sums"][-1].filter("part < 0").count() > 10
+    assert found[0] == found[1] and [r[0] for r in found[0]] == list("abcde") and kept["parts"][1].count() > 5
+    assert found[0][4][2:] == ("Too short. Too short.",) * 2
+    assert "terms" not in kept and all(r[2].count(".") >= 2 for r in found[0])
+
+
+def test_clusters_without_usable_sentence_are_rare_and_their_texts_only_move_then(spark):
+    df, made = _made(spark, "post long, text string, label string", lambda f: f[[]].assign(post=f["id"], text=["One two three four five. Six seven eight nine ten."] * len(f), label=["a" if i % 2 else "b" for i in f["id"]]))
+    assert [(r.cluster_id, r.n_posts) for r in SU.summarize_clusters(df, "label", "post").collect()] == [("a", 20), ("b", 20)]
+    assert made.value == 80
+
+
+def test_clusters_of_no_posts_and_of_unusual_keys(spark):
+    empty = spark.createDataFrame([], "post string, text string, label int")
+    assert SU.summarize_clusters(empty, "label", "post").collect() == []
+    df = spark.createDataFrame([("x", "no", 3), (None, "All of these words stand here. The of and to a is in it.", 4), ("y", "The of and to a is in it.", 5)], "post string, text string, label int")
+    assert [tuple(r) for r in SU.summarize_clusters(df, "label", "post").collect()] == [
+        (3, 1, "no", "no"), (4, 1, "All of these words stand here. The of and to a is in it.", "All of these words stand here. The of and to a is in it."), (5, 1, "The of and to a is in it.", "The of and to a is in it.")]
