@@ -221,3 +221,19 @@ def test_clusters_of_no_posts_and_of_unusual_keys(spark):
     df = spark.createDataFrame([("x", "no", 3), (None, "All of these words stand here. The of and to a is in it.", 4), ("y", "The of and to a is in it.", 5)], "post string, text string, label int")
     assert [tuple(r) for r in SU.summarize_clusters(df, "label", "post").collect()] == [
         (3, 1, "no", "no"), (4, 1, "All of these words stand here. The of and to a is in it.", "All of these words stand here. The of and to a is in it."), (5, 1, "The of and to a is in it.", "The of and to a is in it.")]
+
+
+def test_signs_meet_pairs_in_the_blocks_of_both_words(spark, monkeypatch):
+    """The first product is made of whole rows: a pair reaches the block of either word once, and only top words have rows in several blocks."""
+    starts, blocks = np.array([0, 3, 7]), np.array([0, 2, 5])
+    keys, x = np.array([(8 << 32) + 1, (8 << 32) + 3, (8 << 32) + 5, (9 << 32) + 3, (9 << 32) + 8]), np.arange(1, 6)
+    turned = [r for b in EM._turned_over(starts, blocks, 2)([pa.RecordBatch.from_pydict({"block": [5], "pairs": [EM._pack(keys, x)]})]) for r in b.to_pylist()]
+    assert [(r["block"], [c.tolist() for c in EM._unpack(r["pairs"])]) for r in turned] == [(2, [keys[1:4].tolist(), [2, 3, 4]])]
+    rng, seen = np.random.default_rng(3), []
+    texts = [(i, [f"w{int(w)}" for w in 600 * rng.random(40) ** 2]) for i in range(400)]
+    project = EM._project
+    monkeypatch.setattr(EM, "_project", lambda *given: seen.append(given) or project(*given))
+    monkeypatch.setattr(EM, "stored", lambda df, name: seen.append(made := writers.stored(df, name)) or made)
+    vectors = EM.train_word_vectors(spark.createDataFrame(texts, "id long, tokens array<string>"), size=20, block_pairs=8_000)
+    *_, blocked, top = next(x for x in seen if isinstance(x, tuple))
+    assert vectors.count() > 500 and len(blocked) > 3 and 0 < top < 500
