@@ -234,6 +234,6 @@ def test_signs_meet_pairs_in_the_blocks_of_both_words(spark, monkeypatch):
     project = EM._project
     monkeypatch.setattr(EM, "_project", lambda *given: seen.append(given) or project(*given))
     monkeypatch.setattr(EM, "stored", lambda df, name: seen.append(made := writers.stored(df, name)) or made)
-    vectors = EM.train_word_vectors(spark.createDataFrame(texts, "id long, tokens array<string>"), size=20, block_pairs=8_000)
+    vectors = EM.train_word_vectors(spark.createDataFrame(texts, "id long, tokens array<string>"), size=20, block_pairs=1_000)
     *_, blocked, top = next(x for x in seen if isinstance(x, tuple))
     assert vectors.count() > 500 and len(blocked) > 3 and 0 < top < 500
