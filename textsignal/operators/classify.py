@@ -3,7 +3,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer,
                                 SQLTransformer, StringIndexer)
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +14,7 @@ from textsignal import config
 from textsignal.functions import text as X, vectors as V
 from textsignal.operators import metrics
 from textsignal.operators.bounds import bind
+from textsignal.operators.forest import SparseForest
 from textsignal.operators.splits import stratified_split
 from textsignal.operators.svm import SquaredHingeSVM
 from textsignal.sources.writers import stored
@@ -21,24 +22,32 @@ from textsignal.sources.writers import stored
 BOW, TFIDF = "bow", "tfidf"
 
 
-def fit_features(train, text, kind=TFIDF, ngram=2, max_features=config.MAX_FEATURES):
-    """Pipeline text → `features`: term counts, or smooth-idf weights of unit length."""
+def fit_counts(train, text, ngram=2, max_features=config.MAX_FEATURES):
+    """Pipeline text → `_tf`: counts of the most used terms."""
     steps = [RegexTokenizer(inputCol=text, outputCol="_words", pattern=X.WORD + "{2,}", gaps=False)]
     terms = "_words"
     if ngram > 1:
         steps += [NGram(n=2, inputCol="_words", outputCol="_pairs"),
                   SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__")]
         terms = "_terms"
-    counted = "features" if kind == BOW else "_tf"
-    steps.append(CountVectorizer(inputCol=terms, outputCol=counted, vocabSize=max_features))
-    model = Pipeline(stages=steps).fit(train)
+    steps.append(CountVectorizer(inputCol=terms, outputCol="_tf", vocabSize=max_features))
+    return Pipeline(stages=steps).fit(train)
+
+
+def _weigh(counted, kind):
+    """The stages that make `features` of counts."""
     if kind == BOW:
-        return model
+        return [SQLTransformer(statement="SELECT *, _tf AS features FROM __THIS__")]
     # MLlib's idf lacks the +1 of the smooth form, so the weights are applied as an element-wise product.
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(model.transform(train)).idf.toArray() + 1.0
-    return PipelineModel(stages=[*model.stages,
-                                 ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_raw"),
-                                 Normalizer(p=2.0, inputCol="_raw", outputCol="features")])
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
+    return [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_raw"),
+            Normalizer(p=2.0, inputCol="_raw", outputCol="features")]
+
+
+def fit_features(train, text, kind=TFIDF, ngram=2, max_features=config.MAX_FEATURES):
+    """Pipeline text → `features`: term counts, or smooth-idf weights of unit length."""
+    counts = fit_counts(train, text, ngram, max_features)
+    return PipelineModel(stages=[*counts.stages, *_weigh(counts.transform(train), kind)])
 
 
 def logistic_regression(n_rows, strength=1.0, max_iter=1000):
@@ -51,8 +60,8 @@ def linear_svm(strength=1.0, max_iter=2000):
 
 
 def random_forest(trees=200, max_depth=30, seed=config.SEED):
-    # Rows remember their nodes; otherwise every pass sends the whole forest out and walks it from the roots.
-    return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
+    # Where the fit is left to MLlib, rows remember their nodes; otherwise every pass sends the whole forest out and walks it from the roots.
+    return SparseForest(numTrees=trees, maxDepth=max_depth, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def build_models(n_rows, trees=200, max_depth=30):
@@ -87,25 +96,32 @@ def train_and_rank(df, text, label, id_col, test_size=config.TEST_SIZE, models=N
 
     Returns (scores with position, predictions, fitted models by name, name of the best).
     """
-    usable = df.select(id_col, text, label).na.drop(subset=[text, label])
+    # The split reads its rows three times, and texts are costly to make: once each, kept until the split is.
+    usable = df.select(id_col, text, label).na.drop(subset=[text, label]).persist(StorageLevel.MEMORY_AND_DISK)
     parts = (stratified_split(usable, label, id_col, [("test", test_size)])
              .persist(StorageLevel.MEMORY_AND_DISK))
+    parts.count()
+    usable.unpersist()
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     indexer = fit_labels(train, label)
     specs = models or build_models(train.count(), trees, max_depth)
     fitted, preds, features = {}, [], {}
-    for kind, ngram, _ in specs.values():
-        if (kind, ngram) not in features:
-            stage = fit_features(train, text, kind, ngram)
-            data = indexer.transform(stage.transform(train)).select("features", "label_code")
-            features[kind, ngram] = stage, data.persist(StorageLevel.MEMORY_AND_DISK)
+    for ngram in dict.fromkeys(spec[1] for spec in specs.values()):
+        # Terms are found and counted once for all kinds of features.
+        counts = fit_counts(train, text, ngram)
+        counted = indexer.transform(counts.transform(train)).select("_tf", "label_code").persist(StorageLevel.MEMORY_AND_DISK)
+        for kind in dict.fromkeys(spec[0] for spec in specs.values() if spec[1] == ngram):
+            stages = _weigh(counted, kind)
+            data = PipelineModel(stages=stages).transform(counted).select("features", "label_code").persist(StorageLevel.MEMORY_AND_DISK)
             data.count()
+            features[kind, ngram] = [*counts.stages, *stages], data
+        counted.unpersist()
     # A fit is hundreds of short jobs that leave cores idle, so the models are fitted side by side; none depends on another.
     fit = inheritable_thread_target(df.sparkSession)(lambda spec: spec[2].setLabelCol("label_code").fit(features[spec[0], spec[1]][1]))
     with ThreadPool(len(specs)) as pool:
         heads = pool.map(fit, specs.values(), chunksize=1)
     for (name, (kind, ngram, _)), head in zip(specs.items(), heads):
-        fitted[name] = PipelineModel(stages=[*features[kind, ngram][0].stages, head])
+        fitted[name] = PipelineModel(stages=[*features[kind, ngram][0], head])
         preds.append(predictions(fitted[name], test, id_col, label, indexer.labels, name))
     for _, data in features.values():
         data.unpersist()
